@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash
+from . import bpe, quality, sharding, simhash
 from .common import read
 
 
@@ -25,9 +25,47 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.apply_rules(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & F.col("passed")).alias("kept"), "n_lines", "n_stop_words"
+    )
+
+
+SHARDS = 40
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed, _ = sharding.reshard(read(spark, sf_dir, "documents"), SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+_STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
+OP3_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '[ 	-]+'), lambda x: x <> '') AS ws,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS ls FROM d),
+m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[ 	-]', '', 'g')) AS BIGINT) AS word_chars,
+        CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(ls) AS BIGINT) AS n_lines,
+        CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+        CAST(len(list_filter(ws, lambda x: trim(lower(x), '.,;:!?"''()') IN ({_STOP}))) AS BIGINT) AS n_stop_words FROM w),
+g AS (SELECT doc_id, i, ws[i:i + 7] AS gram FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS c FROM g) WHERE c > 1),
+c AS (SELECT doc_id, CAST(sum(least(8, coalesce(nxt - i, 8))) AS BIGINT) AS n FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM r) GROUP BY doc_id),
+a AS (SELECT m.*, coalesce(c.n, 0) AS n_repeat_words FROM m LEFT JOIN c ON m.doc_id = c.doc_id),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+        CASE WHEN n_words = 0 THEN 0.0 ELSE word_chars / CAST(n_words AS DOUBLE) END AS wl, CASE WHEN n_words = 0 THEN 0.0 ELSE n_symbols / CAST(n_words AS DOUBLE) END AS sy,
+        CASE WHEN n_words = 0 THEN 0.0 ELSE n_stop_words / CAST(n_words AS DOUBLE) END AS st, CASE WHEN n_lines = 0 THEN 0.0 ELSE n_dup_lines / CAST(n_lines AS DOUBLE) END AS du,
+        CASE WHEN n_words = 0 THEN 0.0 ELSE n_repeat_words / CAST(n_words AS DOUBLE) END AS rp FROM a)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND n_words >= 20 AND wl BETWEEN 2 AND 20 AND sy <= 0.25 AND st >= 0.02 AND du <= 0.5 AND rp <= 0.3 AS kept, n_lines, n_stop_words FROM b
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_byte_bpe": op1_byte_bpe, "op2_simhash": op2_simhash}
+    return {"op1_byte_bpe": op1_byte_bpe, "op2_simhash": op2_simhash, "op3_quality_rules": op3_quality_rules, "op4_sharding": op4_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_quality_rules": OP3_SQL}
