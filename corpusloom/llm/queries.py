@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, sharding, simhash
-from .common import read
+from . import bpe, fingerprint, quality, sharding, simhash, toxicity
+from .common import fold, read
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,12 +41,26 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = toxicity.train(docs.filter(fold(5) != 0), labels.filter(fold(5) != 0))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
+
+
+def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_edits(read(spark, sf_dir, "documents"))
+
+
 _STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
 OP3_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-w AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '[ 	-]+'), lambda x: x <> '') AS ws,
-        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS ls FROM d),
-m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[ 	-]', '', 'g')) AS BIGINT) AS word_chars,
+w AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '[ 	-
+]+'), lambda x: x <> '') AS ws,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS ls FROM d),
+m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[ 	-
+]', '', 'g')) AS BIGINT) AS word_chars,
         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(ls) AS BIGINT) AS n_lines,
         CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
         CAST(len(list_filter(ws, lambda x: trim(lower(x), '.,;:!?"''()') IN ({_STOP}))) AS BIGINT) AS n_stop_words FROM w),
@@ -64,7 +78,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_byte_bpe": op1_byte_bpe, "op2_simhash": op2_simhash, "op3_quality_rules": op3_quality_rules, "op4_sharding": op4_sharding}
+    return {"op1_byte_bpe": op1_byte_bpe, "op2_simhash": op2_simhash, "op3_quality_rules": op3_quality_rules, "op4_sharding": op4_sharding, "op5_toxicity": op5_toxicity, "op7_fingerprint": op7_fingerprint}
 
 
 def oracle_sql() -> dict[str, str]:
