@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, quality, sharding, simhash, toxicity
+from . import bpe, fingerprint, language, linededup, packing, quality, sharding, simhash, toxicity
 from .common import fold, read
 
 
@@ -48,10 +48,40 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as P
+
+    return packing.pack_documents(read(spark, sf_dir, "documents"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+
+
 def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_edits(read(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = linededup.remove_boilerplate(read(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), "n_chars", "n_removed")
+
+
+OP8_SQL = f"""
+WITH l AS (SELECT doc_id, source, pos, line, length(trim(line)) - length(replace(trim(line), ' ', '')) >= {linededup.MIN_WORDS - 1} AS counted
+  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)),
+b AS (SELECT line, min(doc_id) AS owner FROM l WHERE counted GROUP BY line HAVING count(DISTINCT source) >= {linededup.MIN_SITES}),
+k AS (SELECT l.doc_id, l.pos, l.line, counted AND b.line IS NOT NULL AND l.doc_id <> b.owner AS gone FROM l LEFT JOIN b ON l.line = b.line),
+t AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text, CAST(count(*) FILTER (gone) AS BIGINT) AS n_removed FROM k GROUP BY doc_id)
+SELECT d.doc_id, md5(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t.text, '') END) AS text_md5,
+  CAST(length(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t.text, '') END) AS BIGINT) AS n_chars, coalesce(t.n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN t ON d.doc_id = t.doc_id
+"""
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language.train(docs.filter(fold(4) != 2).select("text", "lang"))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 _STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
 OP3_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -78,8 +108,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_byte_bpe": op1_byte_bpe, "op2_simhash": op2_simhash, "op3_quality_rules": op3_quality_rules, "op4_sharding": op4_sharding, "op5_toxicity": op5_toxicity, "op7_fingerprint": op7_fingerprint}
+    return {"op1_byte_bpe": op1_byte_bpe, "op2_simhash": op2_simhash, "op3_quality_rules": op3_quality_rules, "op4_sharding": op4_sharding, "op5_toxicity": op5_toxicity, "op6_packing": op6_packing, "op7_fingerprint": op7_fingerprint, "op8_line_dedup": op8_line_dedup, "op9_language": op9_language}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": OP3_SQL}
+    return {"op3_quality_rules": OP3_SQL, "op8_line_dedup": OP8_SQL}
