@@ -103,7 +103,7 @@ def train(docs: DataFrame, words: int = WORDS, grams: int = GRAMS, text_col: str
     """Counts over all rows of docs that have a text and a language."""
     text = F.regexp_replace(F.lower(F.col(text_col)), "[^\\p{L}]+", " ")
     told = docs.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    spoken = told.select(F.col(lang_col).alias("lang"), F.explode(F.split(text, " ")).alias("w")).filter("w <> ''")
+    spoken = told.select(F.col(lang_col).alias("lang"), F.explode_outer(F.split(text, " ")).alias("w")).filter("w <> ''")
     counts = materialize(spoken.groupBy("w", "lang").agg(F.count(F.lit(1)).alias("n")))
     languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     marked = F.concat(F.lit("^"), F.col("w"), F.lit("$"))

@@ -36,7 +36,9 @@ def _counted(line: Column, min_words: int) -> Column:
 
 def lines_of(docs: DataFrame, min_words: int, id_col: str, text_col: str, site_col: str) -> DataFrame:
     lines = F.array_distinct(F.filter(F.split(text_col, "\n", -1), lambda x: _counted(x, min_words)))
-    return docs.select(F.col(id_col).alias("_id"), F.col(site_col).alias("_site"), F.explode(lines).alias("_line")).select("_id", "_site", line_key(F.col("_line")).alias("k"))
+    # Outer, as an inner explode makes the optimizer infer a filter that splits every text again.
+    each = docs.select(F.col(id_col).alias("_id"), F.col(site_col).alias("_site"), F.explode_outer(lines).alias("_line"))
+    return each.filter("_line is not null").select("_id", "_site", line_key(F.col("_line")).alias("k"))
 
 
 def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, language, linededup, packing, quality, sharding, simhash, toxicity
+from . import bpe, fingerprint, language, linededup, packing, pii, quality, sharding, simhash, toxicity
 from .common import fold, read
 
 
@@ -82,6 +82,14 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs))
+    counts = [F.size(F.array_remove(F.transform("base_spans", lambda x: x["kind"]), k)) for k in pii.KINDS]
+    counts = [(F.size("base_spans") - c).cast("long").alias(f"n_{k}") for k, c in zip(pii.KINDS, counts, strict=True)]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("base_spans")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
 _STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
 OP3_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -108,7 +116,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_byte_bpe": op1_byte_bpe, "op2_simhash": op2_simhash, "op3_quality_rules": op3_quality_rules, "op4_sharding": op4_sharding, "op5_toxicity": op5_toxicity, "op6_packing": op6_packing, "op7_fingerprint": op7_fingerprint, "op8_line_dedup": op8_line_dedup, "op9_language": op9_language}
+    return {"op1_byte_bpe": op1_byte_bpe, "op2_simhash": op2_simhash, "op3_quality_rules": op3_quality_rules, "op4_sharding": op4_sharding, "op5_toxicity": op5_toxicity, "op6_packing": op6_packing, "op7_fingerprint": op7_fingerprint, "op8_line_dedup": op8_line_dedup, "op9_language": op9_language, "op10_pii": op10_pii}
 
 
 def oracle_sql() -> dict[str, str]:
