@@ -21,16 +21,21 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, or a temporary folder where it is unset, as in tests on one machine."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    return sc.getCheckpointDir()
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage in the shared checkpoint folder; a lost executor loses nothing of it.
 
     The folder is the session's ``spark.checkpoint.dir``.  Only where that is unset, as in
     tests on one machine, a temporary folder is used.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -42,18 +42,23 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def fingerprint(text: str, shingle: int) -> int:
-    """As a signed 64-bit integer."""
+def hashes(text: str, shingle: int) -> np.ndarray:
+    """Of the shingles in order, repeats included; a shorter text is one shingle, an empty one none."""
     import xxhash
 
     words = text.encode("utf-8").lower().split()
-    if not words:
-        return 0
     if len(words) < shingle:
-        grams = iter([b" ".join(words)])
+        grams = iter([b" ".join(words)] if words else [])
     else:
         grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
-    hashed = np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), "<u8")
+    return np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), "<u8")
+
+
+def fingerprint(text: str, shingle: int, once: bool = False) -> int:
+    """As a signed 64-bit integer; ``once``: every different shingle counts once."""
+    hashed = hashes(text, shingle)
+    if once:
+        hashed = np.unique(hashed)
     counts = np.zeros(BITS, np.int64)
     for at in range(0, len(hashed), SLICE):
         part = hashed[at : at + SLICE]
@@ -62,13 +67,13 @@ def fingerprint(text: str, shingle: int) -> int:
     return int(packed.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", once: bool = False) -> DataFrame:
     """(id, fingerprint long).  Null texts and texts without a word have fingerprint 0."""
     small_batches(docs.sparkSession)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"_id": frame["_id"], "fingerprint": [fingerprint(t, shingle) for t in frame["_text"]]})
+            yield pd.DataFrame({"_id": frame["_id"], "fingerprint": [fingerprint(t, shingle, once) for t in frame["_text"]]})
 
     out = docs.select(id_as_text(id_col), text_or_empty(text_col).alias("_text")).mapInPandas(run, "_id string, fingerprint long")
     return id_restored(out, docs, id_col)
@@ -124,3 +129,38 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col:
     roots = components(found, "a", "b")
     of = classes.join(roots, F.col("rep") == F.col("node"), "left").select(F.col("fp").alias("fingerprint"), F.coalesce("root", "rep").alias("component_id"))
     return prints.join(of, "fingerprint").select(id_col, "fingerprint", "component_id")
+
+
+def similar_links(docs: DataFrame, found: DataFrame, words: int, least: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The links (a, b) whose texts have a Jaccard similarity of ``least`` or more on word shingles."""
+    small_batches(docs.sparkSession)
+    wanted = found.select(F.col("a").alias("n")).unionByName(found.select(F.col("b").alias("n"))).distinct()
+    texts = docs.select(F.col(id_col).alias("n"), text_or_empty(text_col).alias("_text")).join(wanted, "n").groupBy("n").agg(F.min("_text").alias("_text"))
+    texts = texts.select(id_as_text("n"), "_text")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame({"_id": frame["_id"], "h": [np.unique(hashes(t, words)).view("<i8") for t in frame["_text"]]})
+
+    sets = materialize(id_restored(texts.mapInPandas(run, "_id string, h array<long>"), docs, id_col))
+    both = found.join(sets.select(F.col(id_col).alias("a"), F.col("h").alias("x")), "a").join(sets.select(F.col(id_col).alias("b"), F.col("h").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    return both.filter(shared >= least * (F.size("x") + F.size("y") - shared)).select("a", "b")
+
+
+def deduplicate(docs: DataFrame, shingle: int = 2, radius: int = 4, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one document, that of the smallest id, for each group of near copies.
+
+    Fingerprints count every different run of ``shingle`` words once.  Documents with equal
+    fingerprints are one class.  Classes within ``radius`` bits are linked if the texts of their
+    smallest ids share ``least`` of their ``words``-word shingles (Jaccard).  Groups are the
+    connected components.  Texts without a word are one class.  All columns are kept.  Rows with a
+    null id stay; rows that repeat an id are one document and stay or go together.
+    """
+    prints = materialize(fingerprints(docs, shingle, id_col, text_col, once=True).filter(F.col(id_col).isNotNull()))
+    classes = prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(id_col).alias("rep"))
+    found = materialize(links(classes, radius).select("a", "b").filter("a <> b"))
+    roots = components(similar_links(docs, found, words, least, id_col, text_col), "a", "b")
+    of = classes.join(roots, F.col("rep") == F.col("node"), "left").select(F.col("fp").alias("fingerprint"), F.coalesce("root", "rep").alias("_keep"))
+    gone = prints.join(of, "fingerprint").filter(F.col(id_col) != F.col("_keep")).select(F.col(id_col).alias("_gone")).distinct()
+    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
