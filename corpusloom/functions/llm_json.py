@@ -8,6 +8,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 TEXTS = "struct<label:string,confidence:string,severity:string,reason:string,rubric_scores:array<string>"
 ANSWER = TEXTS + ",thought_process:" + TEXTS + ">>"
@@ -33,7 +34,7 @@ def _repair(text: str) -> str | None:
     return again
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _repaired(texts: pd.Series) -> pd.Series:
     return texts.map(_repair, na_action="ignore")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Patterns of pages that are no articles.
 REJECTED_URLS = (
@@ -67,7 +68,7 @@ def keep_url(url: Column) -> Column:
     return F.coalesce((url != "") & ~canonical_url(url).rlike("(?i)(?:" + "|".join(REJECTED_URLS) + ")"), F.lit(False))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _unescape_compose(texts: pd.Series) -> pd.Series:
     import html
     import unicodedata
