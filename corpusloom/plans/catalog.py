@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ingest
+from . import curation, ingest
 
-MODULES = (ingest,)
+MODULES = (ingest, curation)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
