@@ -68,10 +68,13 @@ def array_features(df: DataFrame, column: str) -> DataFrame:
 
 def fit(kind: str, train: DataFrame, c: float = 1.0) -> Model:
     """Balanced logistic regression or linear support vectors; train has features and label."""
-    n = train.count()
-    strength = 1.0 / (c * max(1, n))
-    made = LogisticRegression(weightCol="weight", regParam=strength, maxIter=50) if kind == "logistic" else LinearSVC(weightCol="weight", regParam=strength, maxIter=50)
-    return made.fit(weighted(train).withColumn("label", F.col("label").cast("double")))
+    rows = weighted(train).select(F.col("label").cast("double").alias("label"), "features", "weight").persist()
+    try:
+        strength = 1.0 / (c * max(1, rows.count()))
+        made = LogisticRegression(weightCol="weight", regParam=strength, maxIter=25) if kind == "logistic" else LinearSVC(weightCol="weight", regParam=strength, maxIter=15)
+        return made.fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def macro_f1(df: DataFrame) -> float:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import curation, ingest
+from . import curation, evaluation, ingest
 
-MODULES = (ingest, curation)
+MODULES = (ingest, curation, evaluation)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -12,9 +12,9 @@ from corpusloom.functions.text import crawl_url
 
 
 def read_stream(spark: SparkSession, path: str, files: int = 1) -> DataFrame:
-    """New Parquet files of a table, some at a time."""
+    """New Parquet files of a table, some at a time; the path is a folder or one file."""
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{path}*")
 
 
 def dedup_stream(stream: DataFrame, url: str = "url", ts: str | None = None, late: str = "7 days") -> DataFrame:
