@@ -93,7 +93,7 @@ def _table(counts: DataFrame, key: str, size: int, languages: list[str]) -> tupl
     totals = np.array([dict((r["lang"], r["n"]) for r in held).get(x, 0) for x in languages], float)
     by_key = counts.groupBy(key).agg(F.sum("n").alias("t"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("m"))
     top = by_key.orderBy(F.col("t").desc(), key).limit(size).collect()
-    n = np.array([[r["m"].get(x, 0) for x in languages] for r in top], float).reshape(-1, len(languages))
+    n = np.array([[r["m"].get(x, 0) for x in languages] for r in top], float).reshape(len(top), len(languages))
     logs = np.log(n + SMOOTHING) - np.log(totals + SMOOTHING * max(1, len(top)))
     logs -= logs.mean(1, keepdims=True) if len(top) else 0.0
     return {r[key]: k for k, r in enumerate(top)}, logs

@@ -32,10 +32,13 @@ PER_CLASS = 2500
 LONGEST = 50_000
 #: A word is a feature if so many documents of the sample have it.
 LEAST_DOCS = 4
-EPOCHS = 200
+EPOCHS = 250
 RATE = 0.2
-PENALTY = 1e-4
+PENALTY = 2e-4
 START_BIAS = -6.0
+#: Sentences below this logit, or with no more than the bias, add nothing when documents are
+#: scored: else thousands of blameless sentences would sum up to a toxic document.
+FLOOR = -4.0
 #: Lengths of the beginnings of words that are features too.
 BEGINNINGS = (5, 6, 7)
 #: Words whose weights a worker remembers.
@@ -65,6 +68,10 @@ class Model:
         known = self.known
         return self.bias + sum(known[w] if w in known else self.weight(w) for w in set(WORD.findall(sentence)))
 
+    def document(self, logits: list[float]) -> float:
+        """Noisy-or over the sentences with evidence; 0 for a model without training."""
+        return noisy_or([z for z in logits if z >= FLOOR and z > self.bias]) if math.isfinite(self.bias) else 0.0
+
     def spans(self, text: str) -> Iterator[tuple[int, int, float]]:
         """(start, end, logit) of the sentences that have a word; ends are exclusive."""
         low = text.lower()
@@ -152,7 +159,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             scores, found = [], []
             for text in frame["_text"]:
                 spans = list(own.spans(text)) if math.isfinite(own.bias) else []
-                scores.append(noisy_or([z for _, _, z in spans]))
+                scores.append(own.document([z for _, _, z in spans]))
                 found.append([(a, b, 1 / (1 + math.exp(-z))) for a, b, z in spans if z >= 0])
             yield pd.DataFrame({"_id": frame["_id"], "score": scores, "offending": found})
 
@@ -170,6 +177,6 @@ def reject(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str
     def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = Model(*shared.value)
         for texts in parts:
-            yield pd.Series([noisy_or([z for _, _, z in own.spans(t)]) if math.isfinite(own.bias) else 0.0 for t in texts], dtype=float)
+            yield pd.Series([own.document([z for _, _, z in own.spans(t)]) for t in texts], dtype=float)
 
     return docs.filter(scored(text_or_empty(text_col)) < threshold)
