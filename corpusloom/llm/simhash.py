@@ -11,9 +11,9 @@ There are 2^(r+1) - 1 tables.
 
 A bucket of up to ``BUCKET`` different fingerprints is compared pair by pair.  A fuller one is
 not: two of its members within r bits (r even) have a common point within r/2 bits of both,
-so each member is listed under the points around it that its table allows, and only
-the members of one point are compared, which the geometry itself bounds.  Work therefore stays
-in proportion to the rows, and every link is found.
+and all that lie around one point are within r bits of each other.  So each member is
+listed under the points around it that its table allows, and is tied to the smallest of a point:
+work stays in proportion to the rows, and no connection is lost.
 
 Only different fingerprints are compared; equal ones are one class, named by its smallest id.
 """
@@ -25,7 +25,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import id_as_text, id_restored, materialize, small_batches, text_or_empty
@@ -34,6 +34,8 @@ from .components import components
 SEED = 42
 BITS = 64
 BUCKET = 16
+#: Independent word fingerprints of the near-copy removal.
+REPEATS = 3
 #: Shingles whose bits are counted at once.
 SLICE = 1 << 15
 
@@ -54,11 +56,25 @@ def hashes(text: str, shingle: int) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), "<u8")
 
 
-def fingerprint(text: str, shingle: int, once: bool = False) -> int:
-    """As a signed 64-bit integer; ``once``: every different shingle counts once."""
-    hashed = hashes(text, shingle)
-    if once:
-        hashed = np.unique(hashed)
+def mixed(hashed: np.ndarray, n: int) -> np.ndarray:
+    """The n-th of several independent hashes made from one; the 0th is the hash itself."""
+    if not n:
+        return hashed
+    x = hashed + np.uint64(n * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprint(text: str, shingle: int) -> int:
+    """As a signed 64-bit integer."""
+    return majority(hashes(text, shingle))
+
+
+def majority(hashed: np.ndarray) -> int:
+    """The bits that over half of the hashes have, as a signed 64-bit integer; 0 for none."""
+    if not len(hashed):
+        return 0
     counts = np.zeros(BITS, np.int64)
     for at in range(0, len(hashed), SLICE):
         part = hashed[at : at + SLICE]
@@ -67,13 +83,13 @@ def fingerprint(text: str, shingle: int, once: bool = False) -> int:
     return int(packed.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", once: bool = False) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fingerprint long).  Null texts and texts without a word have fingerprint 0."""
     small_batches(docs.sparkSession)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"_id": frame["_id"], "fingerprint": [fingerprint(t, shingle, once) for t in frame["_text"]]})
+            yield pd.DataFrame({"_id": frame["_id"], "fingerprint": [fingerprint(t, shingle) for t in frame["_text"]]})
 
     out = docs.select(id_as_text(id_col), text_or_empty(text_col).alias("_text")).mapInPandas(run, "_id string, fingerprint long")
     return id_restored(out, docs, id_col)
@@ -92,8 +108,13 @@ def _pairs(grouped: DataFrame, members: str, radius: int) -> DataFrame:
     return left.select("x", F.explode(near).alias("y")).select(F.col("x.fp").alias("fp_a"), F.col("y.fp").alias("fp_b"), F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
 
 
-def links(classes: DataFrame, radius: int = 2) -> DataFrame:
-    """All pairs of different fingerprints (fp, rep) within the radius: (fp_a, fp_b, a, b)."""
+def links(classes: DataFrame, radius: int = 2, every: bool = False, chain: bool = False) -> DataFrame:
+    """Pairs of classes (fp, rep) within the radius: (fp_a, fp_b, a, b).
+
+    With ``every``, all of them.  Else a full bucket gives, for each point, the pairs of the
+    smallest fingerprint around it with the others: they reach the same components, and their
+    number stays in proportion to the classes.  ``chain`` adds neighbours in the order of fingerprints.
+    """
     if radius < 0 or radius % 2:
         raise ValueError("the radius must be even")
     masks = covering_masks(radius)
@@ -113,8 +134,16 @@ def links(classes: DataFrame, radius: int = 2) -> DataFrame:
 
     moves = F.element_at(F.array(*[around(m) for m in masks]), F.col("t") + 1)
     points = large.select("t", "fp", "rep", F.explode(moves).alias("d")).select("t", F.col("fp").bitwiseXOR(F.col("d")).alias("k"), "fp", "rep")
-    balls = points.groupBy("t", "k").agg(F.sort_array(F.collect_list(one)).alias("ms")).filter("size(ms) > 1")
-    return found.unionByName(_pairs(balls, "ms", radius)).distinct()
+    if every:
+        balls = points.groupBy("t", "k").agg(F.sort_array(F.collect_list(one)).alias("ms")).filter("size(ms) > 1")
+        return found.unionByName(_pairs(balls, "ms", radius)).distinct()
+    lowest = points.groupBy("t", "k").agg(F.min(one).alias("y"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    tied = points.join(lowest, ["t", "k"]).filter("rep <> y.rep").select(F.col("y.fp").alias("fp_a"), F.col("fp").alias("fp_b"), F.col("y.rep").alias("a"), F.col("rep").alias("b")).distinct()
+    if chain:
+        before = F.lag(one).over(Window.partitionBy("t", "k").orderBy("fp", "rep"))
+        chained = points.select("fp", "rep", before.alias("y")).filter("y is not null")
+        tied = tied.unionByName(chained.select(F.col("y.fp").alias("fp_a"), F.col("fp").alias("fp_b"), F.col("y.rep").alias("a"), F.col("rep").alias("b")).distinct())
+    return found.unionByName(tied).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -148,19 +177,43 @@ def similar_links(docs: DataFrame, found: DataFrame, words: int, least: float, i
     return both.filter(shared >= least * (F.size("x") + F.size("y") - shared)).select("a", "b")
 
 
-def deduplicate(docs: DataFrame, shingle: int = 2, radius: int = 4, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicate(docs: DataFrame, radius: int = 2, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document, that of the smallest id, for each group of near copies.
 
-    Fingerprints count every different run of ``shingle`` words once.  Documents with equal
-    fingerprints are one class.  Classes within ``radius`` bits are linked if the texts of their
-    smallest ids share ``least`` of their ``words``-word shingles (Jaccard).  Groups are the
-    connected components.  Texts without a word are one class.  All columns are kept.  Rows with a
-    null id stay; rows that repeat an id are one document and stay or go together.
+    Candidates are documents of which one of ``REPEATS`` fingerprints, each of the different words
+    under a hash of its own, is within ``radius`` bits: a few changed words move it less than a
+    fingerprint of long shingles.  They are linked if they share ``least`` of their
+    ``words``-word shingles (Jaccard).  Documents whose word fingerprints and shingle
+    fingerprint are all equal are one class, compared by its smallest id.  In a full bucket
+    a class is compared with the smallest and the next one around each of its points.
+    Groups are the connected components.  Texts without a word are one class.  All columns are
+    kept.  Rows with a null id stay; rows that repeat an id are one document and stay or go together.
     """
-    prints = materialize(fingerprints(docs, shingle, id_col, text_col, once=True).filter(F.col(id_col).isNotNull()))
-    classes = prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(id_col).alias("rep"))
-    found = materialize(links(classes, radius).select("a", "b").filter("a <> b"))
+    small_batches(docs.sparkSession)
+
+    names = [f"fp{n}" for n in range(REPEATS)]
+    keys = [*names, "fp_long"]
+
+    def row(text: str) -> list[int]:
+        own = np.unique(hashes(text, 1))
+        return [*(majority(mixed(own, n)) for n in range(REPEATS)), majority(np.unique(hashes(text, words)))]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = pd.DataFrame([row(t) for t in frame["_text"]], columns=keys, dtype="int64")
+            out.insert(0, "_id", frame["_id"].to_numpy())
+            yield out
+
+    known = docs.filter(F.col(id_col).isNotNull())
+    prints = known.select(id_as_text(id_col), text_or_empty(text_col).alias("_text")).mapInPandas(run, "_id string, " + ", ".join(f"{k} long" for k in keys))
+    prints = materialize(id_restored(prints, docs, id_col))
+    classes = materialize(prints.groupBy(*keys).agg(F.min(id_col).alias("rep")))
+    found = None
+    for n in names:
+        some = links(classes.select(F.col(n).alias("fp"), "rep"), radius, chain=True).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        found = some if found is None else found.unionByName(some)
+    found = materialize(found.filter("a <> b").distinct())
     roots = components(similar_links(docs, found, words, least, id_col, text_col), "a", "b")
-    of = classes.join(roots, F.col("rep") == F.col("node"), "left").select(F.col("fp").alias("fingerprint"), F.coalesce("root", "rep").alias("_keep"))
-    gone = prints.join(of, "fingerprint").filter(F.col(id_col) != F.col("_keep")).select(F.col(id_col).alias("_gone")).distinct()
+    of = classes.join(roots, F.col("rep") == F.col("node"), "left").select(*keys, F.coalesce("root", "rep").alias("_keep"))
+    gone = prints.join(of, keys).filter(F.col(id_col) != F.col("_keep")).select(F.col(id_col).alias("_gone")).distinct()
     return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")

@@ -54,9 +54,12 @@ def test_links_equal_all_pairs_even_in_full_buckets(spark, radius):
     prints |= {draw.getrandbits(64) for _ in range(50)}
     signed = sorted(simhash._signed(p) for p in prints)
     classes = spark.createDataFrame([(p, i) for i, p in enumerate(signed)], "fp long, rep long")
-    got = {(r.a, r.b) for r in simhash.links(classes, radius).collect()}
+    got = {(r.a, r.b) for r in simhash.links(classes, radius, every=True).collect()}
     wanted = {(i, j) for (i, x), (j, y) in itertools.combinations(enumerate(signed), 2) if ((x ^ y) & (2**64 - 1)).bit_count() <= radius}
     assert {tuple(sorted(p)) for p in got} == wanted
+    for chain in (False, True):
+        tied = {tuple(sorted((r.a, r.b))) for r in simhash.links(classes, radius, chain=chain).collect()}
+        assert tied <= wanted and union(tied, range(len(signed))) == union(wanted, range(len(signed)))
 
 
 def plain_fingerprint(text, k):
