@@ -97,7 +97,7 @@ def test_vote(spark):
     side = lambda x: {"label": F.col(f"l{x}"), "scores": F.col(f"s{x}"), "confidence": F.col(f"c{x}"), "severity": F.col(f"v{x}")}
     got = [r.asDict() for r in rows.select(*[c.alias(n) for n, c in scoring.vote(side("a"), side("b")).items()]).collect()]
     assert (got[0]["final_label"], got[0]["status"], got[0]["rubric_total"], got[0]["severity"]) == (1, "review", 4, 1)
-    assert got[0]["confidence"] == pytest.approx(0.95)
+    assert got[0]["confidence"] == pytest.approx(0.75)
     assert got[1]["rubric_total"] == 2 and got[1]["final_label"] == 0 and got[1]["status"] == "review"
     assert got[2]["status"] == "accepted" and got[2]["confidence"] == 1.0
     assert got[3]["final_label"] is None and got[3]["rubric_total"] == -1 and got[3]["confidence"] == 0.5
