@@ -165,6 +165,12 @@ def combined(title: Column, lead: Column) -> Column:
     return F.btrim(F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(lead, F.lit(""))))
 
 
+def texts_hash(id_col: str, text_col: str) -> Column:
+    """Aggregate: md5 of the number of rows and the first and last text by id."""
+    ends = [F.coalesce(f(text_col, id_col), F.lit("")) for f in (F.min_by, F.max_by)]
+    return F.md5(F.concat(F.count(F.lit(1)).cast("string"), *ends).cast("binary"))
+
+
 def timestamp_of(x: Column) -> Column:
     """ISO time, date, or epoch milliseconds; anything else is null."""
     millis = F.timestamp_millis(x.try_cast("bigint"))

@@ -118,6 +118,11 @@ def disagreement_samples(df: DataFrame, a: str, b: str, k: int = 20) -> DataFram
     return df.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).orderBy("id").limit(k)
 
 
+def gate(kappa: Column, least: float = 0.60) -> Column:
+    """Whether kappa is high enough; null where it is undefined."""
+    return kappa >= least
+
+
 def density(low: float, high: float, mean: float, points: int = 200) -> Column:
     """Array of (x, y) of the normal curve that has this 95 % interval."""
     width = max((high - low) / 3.92, 1e-9)

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import curation, evaluation, ingest
+from . import curation, evaluation, extras, ingest
 
-MODULES = (ingest, curation, evaluation)
+MODULES = (ingest, curation, evaluation, extras)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

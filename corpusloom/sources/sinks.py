@@ -53,6 +53,11 @@ def divide(df: DataFrame, accepted: Column) -> tuple[DataFrame, DataFrame]:
     return df.filter(good), df.filter(~good)
 
 
+def append_events(events: DataFrame, path: str) -> None:
+    """Add rows to an append-only log of a session; readers take the last event of a record."""
+    write_jsonl(events, path, mode="append")
+
+
 def report(df: DataFrame) -> str:
     """The one row of an aggregate as JSON."""
     return df.toJSON().first()
