@@ -7,6 +7,8 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.shipping import ship
+
 #: Rows of an Arrow batch: whole texts are handed to Python, so a batch stays at a few MB.
 BATCH_ROWS = 256
 
@@ -16,7 +18,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Hand texts to Python in small Arrow batches, by rows and by bytes."""
+    """Hand texts to Python in small Arrow batches, by rows and by bytes, and send this package."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
