@@ -45,41 +45,44 @@ class Model:
     grams: dict[str, int]
     gram_scores: np.ndarray
 
-    def backoff(self, word: str) -> np.ndarray:
-        marked = f"^{word}$"
-        total, n = np.zeros(len(self.languages)), 0
+    def backoff(self, word: str) -> list[int]:
+        """The longest known n-gram at each letter; letters without one are left out."""
+        marked, known, found = f"^{word}$", self.grams, []
         for at in range(len(marked)):
             for size in range(min(LONGEST, len(marked) - at), 0, -1):
-                k = self.grams.get(marked[at : at + size])
+                k = known.get(marked[at : at + size])
                 if k is not None:
-                    total += self.gram_scores[k]
-                    n += 1
+                    found.append(k)
                     break
-        return total / n if n else total
+        return found
 
-    def scores(self, text: str, unseen: dict[str, np.ndarray]) -> np.ndarray | None:
+    def scores(self, text: str, unseen: dict[str, list[int]]) -> np.ndarray | None:
         found = Counter(LETTERS.findall(text.lower()))
         if not found or not self.languages:
             return None
-        total = np.zeros(len(self.languages))
-        ids, times = [], []
+        ids, times, grams, shares = [], [], [], []
         for word, n in found.items():
             k = self.words.get(word)
             if k is not None:
                 ids.append(k)
                 times.append(n)
                 continue
-            value = unseen.get(word)
-            if value is None:
+            own = unseen.get(word)
+            if own is None:
                 if len(unseen) >= CACHED:
                     unseen.clear()
-                value = unseen[word] = self.backoff(word)
-            total += n * value
+                own = unseen[word] = self.backoff(word)
+            if own:
+                grams += own
+                shares += [n / len(own)] * len(own)
+        total = np.zeros(len(self.languages))
         if ids:
             total += np.asarray(times, float) @ self.word_scores[ids]
+        if grams:
+            total += np.asarray(shares) @ self.gram_scores[grams]
         return total
 
-    def predict(self, text: str, unseen: dict[str, np.ndarray]) -> tuple[str, float]:
+    def predict(self, text: str, unseen: dict[str, list[int]]) -> tuple[str, float]:
         total = self.scores(text, unseen)
         if total is None:
             return "und", 0.0
@@ -109,7 +112,8 @@ def train(docs: DataFrame, words: int = WORDS, grams: int = GRAMS, text_col: str
     marked = F.concat(F.lit("^"), F.col("w"), F.lit("$"))
     sizes = [F.transform(F.sequence(F.lit(1), F.length(marked) - k + 1), lambda i, k=k: F.substr(marked, i, F.lit(k))) for k in range(1, LONGEST + 1)]
     long_enough = [F.when(F.length(marked) >= k, s).otherwise(F.array().cast("array<string>")) for k, s in enumerate(sizes, 1)]
-    gram_counts = counts.select("lang", "n", F.explode(F.concat(*long_enough)).alias("g")).groupBy("g", "lang").agg(F.sum("n").alias("n"))
+    # Outer, as an inner explode makes the optimizer infer a filter that builds every n-gram again.
+    gram_counts = materialize(counts.select("lang", "n", F.explode_outer(F.concat(*long_enough)).alias("g")).groupBy("g", "lang").agg(F.sum("n").alias("n")))
     return Model(languages, *_table(counts, "w", words, languages), *_table(gram_counts, "g", grams, languages))
 
 
