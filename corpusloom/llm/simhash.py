@@ -20,7 +20,7 @@ Only different fingerprints are compared; equal ones are one class, named by its
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -34,8 +34,14 @@ from .components import components
 SEED = 42
 BITS = 64
 BUCKET = 16
-#: Independent word fingerprints of the near-copy removal.
-REPEATS = 3
+#: Near-copy removal: one document of so many, and so many shingles at most, tell which shingles are common.
+SAMPLE, RANKED = 16, 100_000
+#: Each round compares so many times more members of a bucket with the rest.
+ROUND = 8
+#: Up to so many ids are sent to the texts; for more, texts are dealt out by id.
+SENT = 500_000
+#: Of products of a similarity and a count.
+SLACK = 1e-9
 #: Shingles whose bits are counted at once.
 SLICE = 1 << 15
 
@@ -56,16 +62,6 @@ def hashes(text: str, shingle: int) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), "<u8")
 
 
-def mixed(hashed: np.ndarray, n: int) -> np.ndarray:
-    """The n-th of several independent hashes made from one; the 0th is the hash itself."""
-    if not n:
-        return hashed
-    x = hashed + np.uint64(n * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def fingerprint(text: str, shingle: int) -> int:
     """As a signed 64-bit integer."""
     return majority(hashes(text, shingle))
@@ -160,60 +156,129 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col:
     return prints.join(of, "fingerprint").select(id_col, "fingerprint", "component_id")
 
 
-def similar_links(docs: DataFrame, found: DataFrame, words: int, least: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The links (a, b) whose texts have a Jaccard similarity of ``least`` or more on word shingles."""
+def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(n, h): the different word shingles of the documents ``wanted`` (n); an id with several texts has several rows."""
     small_batches(docs.sparkSession)
-    wanted = found.select(F.col("a").alias("n")).unionByName(found.select(F.col("b").alias("n"))).distinct()
-    texts = docs.select(F.col(id_col).alias("n"), text_or_empty(text_col).alias("_text")).join(wanted, "n").groupBy("n").agg(F.min("_text").alias("_text"))
-    texts = texts.select(id_as_text("n"), "_text")
+    few = F.broadcast(wanted) if wanted.count() <= SENT else wanted
+    texts = docs.select(F.col(id_col).alias("n"), text_or_empty(text_col).alias("_text")).join(few, "n")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             yield pd.DataFrame({"_id": frame["_id"], "h": [np.unique(hashes(t, words)).view("<i8") for t in frame["_text"]]})
 
-    sets = materialize(id_restored(texts.mapInPandas(run, "_id string, h array<long>"), docs, id_col))
-    both = found.join(sets.select(F.col(id_col).alias("a"), F.col("h").alias("x")), "a").join(sets.select(F.col(id_col).alias("b"), F.col("h").alias("y")), "b")
+    sets = id_restored(texts.select(id_as_text("n"), "_text").mapInPandas(run, "_id string, h array<long>"), docs, id_col)
+    return materialize(sets.select(F.col(id_col).alias("n"), "h").distinct())
+
+
+def similar(found: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) of which ``sets`` (n, h) have a Jaccard similarity of ``least`` or more."""
+    both = found.join(sets.select(F.col("n").alias("a"), F.col("h").alias("x")), "a").join(sets.select(F.col("n").alias("b"), F.col("h").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
-    return both.filter(shared >= least * (F.size("x") + F.size("y") - shared)).select("a", "b")
+    return both.filter(shared >= least * (F.size("x") + F.size("y") - shared) - SLACK).select("a", "b").distinct()
+
+
+def common_shingles(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several documents of a sample have, ascending, and in how many; it serves to order shingles only."""
+    small_batches(docs.sparkSession)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame({"h": [np.unique(hashes(t, words)).view("<i8") for t in frame["_text"]]})
+
+    sample = docs.filter(F.pmod(F.xxhash64(id_col), F.lit(SAMPLE)) == 0).select(text_or_empty(text_col).alias("_text"))
+    seen = sample.mapInPandas(run, "h array<long>").select(F.explode("h").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    rows = seen.orderBy(F.desc("c"), "h").limit(RANKED).toArrow()
+    h, c = (rows.column(k).to_numpy() for k in ("h", "c"))
+    order = np.argsort(h)
+    return h[order], c[order]
+
 
+def joined_roots(posts: DataFrame, least: float, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+    """(node, root) of the components of all pairs with a Jaccard similarity of ``least`` or more.
 
-def deduplicate(docs: DataFrame, radius: int = 2, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    ``posts`` (h, id, n, at) lists each set under the shingles of its prefix: its size, and the place
+    of the shingle in the common order; ``sets_of`` gives the whole sets (n, h) of ids (n).  In rounds, the first members of each bucket are compared with
+    all later members that are not connected to them yet, and then leave the bucket.  A bucket
+    is done when its members are one component.  So each pair of a bucket is either compared or known to
+    be connected, and a group of near copies costs pairs in proportion to its members.  Members go by
+    how many others share their prefix, so that the middle of a group comes first.  None without links.
+    """
+    within = Window.partitionBy("h")
+    posts = materialize(posts.distinct().withColumn("c", F.count(F.lit(1)).over(within)).filter("c > 1"))
+    weight = posts.groupBy("id").agg(F.sum("c").alias("w"))
+    order = F.row_number().over(within.orderBy(F.desc("w"), F.xxhash64("id"), "id", "n", "at"))
+    live = posts.join(weight, "id").select("h", "id", "n", "at", (order - 1).alias("k"), F.col("id").alias("root"))
+    tried = links = roots = None
+    last = 1
+    while True:
+        live = materialize(live)
+        mixed = live.groupBy("h").agg(F.min("root").alias("l"), F.max("root").alias("m")).filter("l <> m").select("h")
+        live = materialize(live.join(mixed, "h", "left_semi"))
+        if live.isEmpty():
+            return roots
+        p, q = live.filter(F.col("k") < last).alias("p"), live.alias("q")
+        # The first common shingle of a similar pair leaves room for the shared shingles that they need.
+        room = F.least(F.col("p.n") - F.col("p.at"), F.col("q.n") - F.col("q.at"))
+        fits = (1 + least) * room >= least * (F.col("p.n") + F.col("q.n")) - SLACK
+        pairs = p.join(q, (F.col("p.h") == F.col("q.h")) & (F.col("p.k") < F.col("q.k")) & (F.col("p.root") != F.col("q.root")) & fits)
+        pairs = pairs.select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b")).distinct()
+        pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        live = live.filter(F.col("k") >= last)
+        last = (last + 1) * ROUND
+        wanted = materialize(pairs.select(F.col("a").alias("n")).unionByName(pairs.select(F.col("b").alias("n"))).distinct())
+        if wanted.isEmpty():
+            continue
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        good = materialize(similar(pairs, sets_of(wanted), least))
+        if good.isEmpty():
+            continue
+        links = good if links is None else links.unionByName(good)
+        roots = components(links, "a", "b")
+        live = live.drop("root").join(roots, F.col("id") == F.col("node"), "left").select("h", "id", "n", "at", "k", F.coalesce("root", "id").alias("root"))
+
+
+def deduplicate(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document, that of the smallest id, for each group of near copies.
 
-    Candidates are documents of which one of ``REPEATS`` fingerprints, each of the different words
-    under a hash of its own, is within ``radius`` bits: a few changed words move it less than a
-    fingerprint of long shingles.  They are linked if they share ``least`` of their
-    ``words``-word shingles (Jaccard).  Documents whose word fingerprints and shingle
-    fingerprint are all equal are one class, compared by its smallest id.  In a full bucket
-    a class is compared with the smallest and the next one around each of its points.
-    Groups are the connected components.  Texts without a word are one class.  All columns are
+    Documents are linked if they share ``least`` of their different ``words``-word shingles (Jaccard); groups
+    are the connected components of all such links.  Candidates are exact: with the shingles of every
+    document in one common order, rare ones first, two similar documents have a shingle in common among the
+    first n - ceil(least n) + 1 of their n.  The order comes from a sample; it changes the work, not the result.
+    Documents with equal sets of shingles are one class, compared by its smallest id.
+    Texts without a word are one class.  All columns are
     kept.  Rows with a null id stay; rows that repeat an id are one document and stay or go together.
     """
+    import math
+
+    known = docs.filter(F.col(id_col).isNotNull())
+    common, often = common_shingles(known, words, id_col, text_col)
     small_batches(docs.sparkSession)
 
-    names = [f"fp{n}" for n in range(REPEATS)]
-    keys = [*names, "fp_long"]
+    def row(text: str) -> tuple:
+        import xxhash
 
-    def row(text: str) -> list[int]:
-        own = np.unique(hashes(text, 1))
-        return [*(majority(mixed(own, n)) for n in range(REPEATS)), majority(np.unique(hashes(text, words)))]
+        own = np.unique(hashes(text, words)).view("<i8")
+        key = xxhash.xxh3_128_digest(own.tobytes())
+        first = len(own) - math.ceil(least * len(own) - SLACK) + 1 if len(own) else 0
+        count = np.zeros(len(own), np.int64)
+        if len(common):
+            at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+            count = np.where(common[at] == own, often[at], 0)
+        return key, len(own), own[np.lexsort((own, count))[:first]]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out = pd.DataFrame([row(t) for t in frame["_text"]], columns=keys, dtype="int64")
+            out = pd.DataFrame([row(t) for t in frame["_text"]], columns=["_key", "_n", "_first"])
             out.insert(0, "_id", frame["_id"].to_numpy())
             yield out
 
-    known = docs.filter(F.col(id_col).isNotNull())
-    prints = known.select(id_as_text(id_col), text_or_empty(text_col).alias("_text")).mapInPandas(run, "_id string, " + ", ".join(f"{k} long" for k in keys))
+    prints = known.select(id_as_text(id_col), text_or_empty(text_col).alias("_text")).mapInPandas(run, "_id string, _key binary, _n int, _first array<long>")
     prints = materialize(id_restored(prints, docs, id_col))
-    classes = materialize(prints.groupBy(*keys).agg(F.min(id_col).alias("rep")))
-    found = None
-    for n in names:
-        some = links(classes.select(F.col(n).alias("fp"), "rep"), radius, chain=True).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        found = some if found is None else found.unionByName(some)
-    found = materialize(found.filter("a <> b").distinct())
-    roots = components(similar_links(docs, found, words, least, id_col, text_col), "a", "b")
-    of = classes.join(roots, F.col("rep") == F.col("node"), "left").select(*keys, F.coalesce("root", "rep").alias("_keep"))
-    gone = prints.join(of, keys).filter(F.col(id_col) != F.col("_keep")).select(F.col(id_col).alias("_gone")).distinct()
+    classes = materialize(prints.groupBy("_key").agg(F.min(id_col).alias("rep")))
+    own = prints.join(classes.select("_key", F.col("rep").alias(id_col)), ["_key", id_col])
+    posts = own.select(F.col(id_col).alias("id"), F.col("_n").alias("n"), F.posexplode("_first").alias("at", "h"))
+    posts = materialize(posts.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("h"))).filter("c > 1").drop("c"))
+    roots = joined_roots(posts, least, lambda wanted: shingle_sets(known, wanted, words, id_col, text_col))
+    of = classes.withColumn("_keep", F.col("rep")) if roots is None else classes.join(roots, F.col("rep") == F.col("node"), "left").withColumn("_keep", F.coalesce("root", "rep"))
+    gone = prints.select(id_col, "_key").join(of.select("_key", "_keep"), "_key").filter(F.col(id_col) != F.col("_keep")).select(F.col(id_col).alias("_gone")).distinct()
     return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")

@@ -109,6 +109,34 @@ def test_deduplicate_keeps_one_of_each_group_and_clean_documents(spark):
     assert simhash.deduplicate(df).filter("doc_id is null").count() == 1
 
 
+def brute_force(rows, least=0.8):
+    """What stays of rows (id, text): the smallest id of each component of the pairs at ``least`` or more."""
+    sets = {}
+    for i, text in rows:
+        words = text.lower().split()
+        sets[i] = {" ".join(words[at : at + 5]) for at in range(max(1, len(words) - 4))}
+    pairs = [(i, j) for i, j in itertools.combinations(sets, 2) if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]) - 1e-9]
+    return sorted(i for i, root in union(pairs, sets).items() if i == root)
+
+
+def edited(draw, base, n):
+    out = [*base]
+    for at in draw.sample(range(len(base)), n):
+        out[at] = f"x{draw.randrange(10**9)}"
+    return " ".join(out)
+
+
+def test_deduplicate_connects_spokes_by_their_hub(spark):
+    draw = random.Random(14)
+    base = [f"w{draw.randrange(500)}" for _ in range(200)]
+    # Copies with four words changed reach 0.8 with the hub only, not with each other.
+    rows = [(i, edited(draw, base, 4)) for i in range(300)] + [(300, " ".join(base))] + [(301 + i, edited(draw, base, 12)) for i in range(20)]
+    wanted = brute_force(rows)
+    assert len(brute_force(rows[:300])) > 200 and len(wanted) == 21
+    kept = sorted(r.doc_id for r in simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert kept == wanted
+
+
 def cheapest(blocks, capacity, spare):
     """Fewest bytes to move, by trying every choice of larger shards; block rows are equal in size."""
     best = None
