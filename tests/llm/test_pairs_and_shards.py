@@ -137,6 +137,19 @@ def test_deduplicate_connects_spokes_by_their_hub(spark):
     assert kept == wanted
 
 
+def test_deduplicate_equals_brute_force(spark):
+    draw = random.Random(15)
+    rows = []
+    for size in [*range(1, 12), 30, 60, 100, 200, 300] * 3:
+        base = [f"w{draw.randrange(300)}" for _ in range(size)]
+        rows += [edited(draw, base, n) for n in sorted({0, *(draw.randrange(0, 2 + size // 25) for _ in range(4))})]
+        rows += [" ".join([*base, *base[: size // 5]]), " ".join(base[size // 6 :])]
+    rows = list(enumerate([*rows, *rows[:20], "", " "]))
+    draw.shuffle(rows)
+    kept = sorted(r.doc_id for r in simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert kept == brute_force(rows)
+
+
 def cheapest(blocks, capacity, spare):
     """Fewest bytes to move, by trying every choice of larger shards; block rows are equal in size."""
     best = None
