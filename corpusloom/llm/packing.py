@@ -1,35 +1,90 @@
-"""Best-fit packing of token pieces into sequences, in bulk-synchronous steps.
-
-Documents are tokenised and end with the id 0; longer ones than a sequence are cut, the remainder
-first.  Pieces are range-sorted by length and ranked within their length.  Packing works on runs:
-all pieces of one length, and all sequences with one gap.  Step by step, longest pieces first,
-each run sweeps its successor gaps from the smallest that fits upwards; rank decides which piece of
-the run meets which sequence of the gap run, the gaps are updated for the next step, and what finds
-no gap opens new sequences.  The outcome equals best-fit decreasing piece by piece.  There are
-at most as many runs as a sequence has tokens, however many rows; a distributed count makes
-them, and a distributed join by rank carries the matches back to the rows.
-
-Null texts count as empty: the piece is the single id 0.  Repeated rows are packed each by
-itself; which of several pieces alike in length goes where is arbitrary but fixed.
+"""Best-fit packing of token pieces into sequences, in bulk-synchronous rounds.
+
+Documents are encoded by the ``tokenizers`` library and end with the id 0; longer ones than a
+sequence are cut, the remainder first.  Pieces are range-sorted by length and ranked within their
+length.  Packing works on runs: all pieces of one length that are left, as an interval of
+ranks, and all sequences that were made alike, as an interval of sequences with one gap.
+
+A round is one sweep over the runs, sorted by size, largest first; a Spark job does ``ROUNDS`` of
+them and writes the runs to the checkpoint folder.  The sweep finds the successor of every run of pieces: the smallest gap that holds it and that no longer piece took in
+this sweep.  Where pieces compete for a gap, rank decides: the longest first, then the lowest
+rank.  A gap takes one piece a round, or up to half of what fits if pieces are that small.  Gaps are updated,
+and the next round starts from them.  Pieces over half a sequence go first, then those over
+a quarter, then all.  What finds no gap opens new sequences: one for each piece over half a
+sequence, else as many as their tokens fill.  A distributed join by length and rank carries the
+matches back to the rows.  There are at most as many runs of pieces as a sequence has tokens,
+however many rows, and a round adds at most as many matches as it has runs.
+
+Null texts count as empty: the piece is the single id 0.  Repeated rows, repeated ids and null ids
+are packed each by itself; which of several pieces alike in length goes where is arbitrary but
+fixed.  A very long text is cut like any other.  Columns other than the id and the text are
+ignored, whatever their names.  An empty table gives an empty one.
 """
 
 from __future__ import annotations
 
-import bisect
+import functools
+import os
+import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import encoding
 from .common import global_rank, id_as_text, id_restored, materialize, small_batches, text_or_empty
 
 CAPACITY = 2048
 END = 0
+#: Characters that the tokenizer's pattern counts as white space; no token of a text spans the start of a run of them.
+SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+CHUNK = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
+#: Chunks whose ids a worker remembers.
+REMEMBERED = 1 << 18
+#: Pieces longer than these parts of a sequence are placed before the shorter ones.
+CLASSES = (0.5, 0.25, 0.0)
+#: Rounds of a job.
+ROUNDS = 8
+
+
+class Encoder:
+    """Ids of texts by the ``tokenizers`` library, with the ids of frequent chunks remembered.
+
+    A text is cut before each run of white space, where the tokenizer's pattern always starts a
+    new token, so the ids of the chunks joined are the ids of the text.  Texts with an added
+    token's content are encoded in one go.
+    """
+
+    def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one core a task
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known: dict[str, bytes] = {}
+
+    def plain(self, texts: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        whole = [any(a in t for a in self.added) for t in texts]
+        chunks = [[t] if w else CHUNK.findall(t) for t, w in zip(texts, whole, strict=True)]
+        known = self.known
+        new = list({c for own in chunks for c in own if c not in known})
+        found = dict(zip(new, self.plain(new), strict=True))
+        out = [b"".join([known[c] if c in known else found[c] for c in own]) for own in chunks]
+        if len(known) < REMEMBERED:
+            known.update((c, ids) for c, ids in found.items() if len(c) <= 32)
+        return out
+
+
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """Once for each worker."""
+    return Encoder(path)
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -38,97 +93,108 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((at, capacity) for at in range(first, length, capacity))]
 
 
-def pieces(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, piece, start, length, ids_crc32)."""
     small_batches(docs.sparkSession)
+    end = np.asarray([END], "<u4").tobytes()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoding(ranks_path, pattern)
+        enc = encoder(tokenizer_path)
         for frame in frames:
             rows = []
-            for i, text in zip(frame["_id"], frame["_text"], strict=True):
-                ids = np.asarray([*enc.encode_ordinary(text), END], "<u4")
-                rows.extend((i, k, at, n, zlib.crc32(ids[at : at + n].tobytes())) for k, (at, n) in enumerate(cut(len(ids), capacity)))
+            for i, ids in zip(frame["_id"], enc.encode(frame["_text"].tolist()), strict=True):
+                ids += end
+                rows.extend((i, k, at, n, zlib.crc32(ids[4 * at : 4 * (at + n)])) for k, (at, n) in enumerate(cut(len(ids) // 4, capacity)))
             yield pd.DataFrame(rows, columns=["_id", "piece", "start", "length", "ids_crc32"])
 
     out = docs.select(id_as_text(id_col), text_or_empty(text_col).alias("_text")).mapInPandas(run, "_id string, piece int, start long, length long, ids_crc32 long")
     return id_restored(out, docs, id_col)
 
 
-@dataclass(frozen=True)
-class Match:
-    """Pieces of ``length`` with ranks from ``low`` to below ``high``, ``each`` to a sequence, from ``sequence`` on, at ``offset``."""
-
-    length: int
-    low: int
-    high: int
-    each: int
-    sequence: int
-    offset: int
-
-
-def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[Match], int]:
-    """Matches of all runs, and the number of sequences."""
-    gaps: dict[int, list[tuple[int, int]]] = {}  # gap: (first sequence, how many)
-    sizes: list[int] = []  # gaps in ascending order
-    matches: list[Match] = []
-    opened = 0
-
-    def put(gap: int, first: int, many: int) -> None:
-        if gap and many:
-            if gap not in gaps:
-                gaps[gap] = []
-                bisect.insort(sizes, gap)
-            gaps[gap].append((first, many))
-
-    for length in sorted(counts, reverse=True):
-        low, left = 0, counts[length]
-        while left:
-            k = bisect.bisect_left(sizes, length)
-            if k < len(sizes):
-                gap = sizes[k]
-                first, many = gaps[gap].pop()
-                if not gaps[gap]:
-                    del gaps[gap]
-                    sizes.pop(k)
-            else:
-                gap, first, many = capacity, opened, -(-left // (capacity // length))
-                opened += many
-            each = gap // length
-            full = min(many, left // each)
-            if full:
-                matches.append(Match(length, low, low + full * each, each, first, capacity - gap))
-                put(gap - each * length, first, full)
-                low, left = low + full * each, left - full * each
-            if full < many:
-                if left and left < each:
-                    matches.append(Match(length, low, low + left, left, first + full, capacity - gap))
-                    put(gap - left * length, first + full, 1)
-                    low, left, full = low + left, 0, full + 1
-                put(gap, first + full, many - full)
-    return matches, opened
+#: Runs by kind: PIECES of length ``size`` with ranks ``low`` to below ``high``; sequences ``low``
+#: to below ``high`` with a GAP of ``size``; a MATCH of pieces of length ``size`` and ranks ``low`` to
+#: below ``high``, ``each`` to a sequence, from ``sequence`` on, at ``offset``; ``low`` sequences OPENED.
+PIECES, GAP, MATCH, OPENED = range(4)
+RUN = "kind int, size long, low long, high long, each long, sequence long, offset long"
+COLUMNS = ["kind", "size", "low", "high", "each", "sequence", "offset"]
+
+
+def sweep(runs: list[tuple[int, ...]], capacity: int) -> list[tuple[int, ...]]:
+    """One round over (kind, size, low, high, ...) of pieces, gaps and the count of opened sequences."""
+    pieces_left = [(r[1], r[2], r[3]) for r in runs if r[0] == PIECES]
+    gaps = [(r[1], r[2], r[3]) for r in runs if r[0] == GAP]
+    opened = sum(r[2] for r in runs if r[0] == OPENED)
+    least = next((c * capacity for c in CLASSES if any(size > c * capacity for size, _, _ in pieces_left)), 0)
+    order = sorted([(-size, 0, low, high) for size, low, high in gaps] + [(-size, 1, low, high) for size, low, high in pieces_left if size > least])
+    out = [(PIECES, size, low, high, 0, 0, 0) for size, low, high in pieces_left if size <= least]
+    free: list[tuple[int, int, int]] = []  # smallest gap last
+    waiting: list[tuple[int, int]] = []
+    matched = 0
+    for negative, kind, low, high in order:
+        size = -negative
+        if kind == 0:
+            free.append((size, low, high))
+            continue
+        while low < high and free:
+            gap, first, last = free.pop()
+            each = min(high - low, max(1, gap // (2 * size)))
+            many = min(last - first, (high - low) // each)
+            out.append((MATCH, size, low, low + many * each, each, first, capacity - gap))
+            if gap > each * size:
+                out.append((GAP, gap - each * size, first, first + many, 0, 0, 0))
+            if first + many < last:
+                free.append((gap, first + many, last))
+            low += many * each
+            matched += many * each
+        if low < high:
+            out.append((PIECES, size, low, high, 0, 0, 0))
+            waiting.append((size, high - low))
+    out.extend((GAP, *f, 0, 0, 0) for f in free)
+    if waiting and not matched:
+        large = sum(n for size, n in waiting if 2 * size > capacity)
+        new = large or -(-sum(size * n for size, n in waiting) // capacity)
+        out.append((GAP, capacity, opened, opened + new, 0, 0, 0))
+        opened += new
+    out.append((OPENED, 0, opened, 0, 0, 0, 0))
+    return out
+
+
+def match(runs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """Matches of all runs of pieces (RUN rows of kind PIECES), by rounds until no piece is left."""
+
+    def rounds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [tuple(r) for frame in frames for r in frame.to_numpy().tolist()]
+        for _ in range(ROUNDS):
+            if any(r[0] == PIECES for r in rows):
+                rows = [r for r in rows if r[0] == MATCH] + sweep(rows, capacity)
+        yield pd.DataFrame(rows, columns=COLUMNS)
+
+    state = materialize(runs.select(*COLUMNS).coalesce(1))
+    while not state.filter(F.col("kind") == PIECES).isEmpty():
+        state = materialize(state.sortWithinPartitions(F.desc("size"), "kind", "low").mapInPandas(rounds, RUN))
+    return state.filter(F.col("kind") == MATCH)
 
 
 def pack(cut_pieces: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id") -> DataFrame:
     """Adds sequence_id and offset to (id, piece, start, length, ids_crc32)."""
-    spark = cut_pieces.sparkSession
+    small_batches(cut_pieces.sparkSession)
     held = materialize(cut_pieces.withColumn("_own", -1 - F.monotonically_increasing_id()))
     whole = held.filter(F.col("length") == capacity).select(*cut_pieces.columns, F.col("_own").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    ranked, runs = global_rank(held.filter(F.col("length") < capacity).drop("_own"), ["length"], ["ids_crc32", id_col, "piece"])
-    counts = {r["length"]: r["n"] for r in runs.groupBy("length").agg(F.sum("_n").alias("n")).collect()}  # fewer than capacity rows
-    matches, _ = plan(counts, capacity)
-    rows = [(m.length, m.low, m.high, m.each, m.sequence, m.offset) for m in matches]
-    table = spark.createDataFrame(rows, "l long, low long, high long, each long, first long, at long")
+    ranked, placed = global_rank(held.filter(F.col("length") < capacity).drop("_own"), ["length"], ["ids_crc32", id_col, "piece"])
+    none = F.lit(0).cast("long")
+    runs = placed.groupBy("length").agg(F.sum("_n").alias("n")).select(F.lit(PIECES).alias("kind"), F.col("length").alias("size"), none.alias("low"), F.col("n").alias("high"), *[none.alias(c) for c in COLUMNS[4:]])
+    table = match(runs, capacity).select(F.col("size").alias("l"), *COLUMNS[2:])
     meets = (F.col("length") == F.col("l")) & (F.col("_rank") >= F.col("low")) & (F.col("_rank") < F.col("high"))
     nth = F.col("_rank") - F.col("low")
-    placed = ranked.join(F.broadcast(table), meets).select(
+    # The table has at most as many rows as runs were swept: its size follows from the capacity.
+    found = ranked.join(F.broadcast(table), meets).select(
         *cut_pieces.columns,
-        (F.col("first") + F.floor(nth / F.col("each"))).cast("long").alias("sequence_id"),
-        (F.col("at") + F.pmod(nth, F.col("each")) * F.col("length")).cast("long").alias("offset"),
+        (F.col("sequence") + F.floor(nth / F.col("each"))).cast("long").alias("sequence_id"),
+        (F.col("offset") + F.pmod(nth, F.col("each")) * F.col("length")).cast("long").alias("offset"),
     )
-    return placed.unionByName(whole)
+    return found.unionByName(whole)
 
 
-def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, piece, start, length, ids_crc32, sequence_id, offset) for every piece of every row."""
-    return pack(pieces(docs, ranks_path, pattern, capacity, id_col, text_col), capacity, id_col)
+    return pack(pieces(docs, tokenizer_path, capacity, id_col, text_col), capacity, id_col)

@@ -51,7 +51,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
 
-    return packing.pack_documents(read(spark, sf_dir, "documents"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    return packing.pack_documents(read(spark, sf_dir, "documents"), P.path("byte_bpe_50k.json"))
 
 
 def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm import bpe, fingerprint, language, linededup, packing, pii, quality, toxicity
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
+JSON = P.path("byte_bpe_50k.json")
 ODD = [
     None, "", " ", "a", "it's  we'll\n\n\tend  ", "x" * 900, "1" * 700 + " " * 300 + "é" * 200, "日本語 テキスト " * 40, "<|endoftext|> is text", "a\u0000b", "🙂🙃 " * 50,
     "The quick brown fox. " * 60, "same", "same", "word " * 400, "\n" * 120 + "x",
@@ -65,44 +66,115 @@ def test_quality_measures_equal_plain_counts(spark):
     assert quality.apply_rules(df.limit(0)).count() == 0
 
 
-def test_packing_plan_equals_best_fit_decreasing():
+def best_fit_decreasing(sizes, capacity):
+    gaps = []
+    for size in sorted(sizes, reverse=True):
+        fits = [g for g in gaps if g >= size]
+        if fits:
+            gaps.remove(min(fits))
+        gaps.append((min(fits) if fits else capacity) - size)
+    return len(gaps)
+
+
+def rounds_piece_by_piece(sizes, capacity):
+    """Fills of all sequences: the rounds of the docstring over single pieces and single gaps."""
+    left, gaps, total = sorted(sizes, reverse=True), [], 0
+    while left:
+        least = next((c * capacity for c in packing.CLASSES if left[0] > c * capacity))
+        now, later = [x for x in left if x > least], [x for x in left if x <= least]
+        free, after, waiting = sorted(gaps), [], []
+        at = 0
+        while at < len(now):
+            size = now[at]
+            k = next((i for i, g in enumerate(free) if g >= size), None)
+            if k is None:
+                waiting.append(size)
+                at += 1
+                continue
+            gap = free.pop(k)
+            each = min(max(1, gap // (2 * size)), now[at:].count(size))
+            after.append(gap - each * size)
+            at += each
+        gaps = [g for g in free + after if g]
+        if len(waiting) == len(now):
+            new = sum(2 * x > capacity for x in waiting) or -(-sum(waiting) // capacity)
+            gaps += [capacity] * new
+            total += new
+        left = sorted(waiting + later, reverse=True)
+    return total
+
+
+def packed_sequences(matches, capacity):
+    """{sequence: parts}, after a look that parts neither overlap nor leave a hole."""
+    parts = {}
+    for _, size, low, high, each, sequence, offset in matches:
+        for rank in range(low, high):
+            nth = rank - low
+            parts.setdefault(sequence + nth // each, []).append((offset + nth % each * size, size, rank))
+    for own in parts.values():
+        at = 0
+        for offset, size, _ in sorted(own):
+            assert offset == at
+            at += size
+        assert at <= capacity
+    return parts
+
+
+def test_packing_rounds_equal_the_rounds_piece_by_piece():
     draw = random.Random(2)
-    for _ in range(40):
-        counts = {draw.randrange(1, 50): draw.randrange(1, 30) for _ in range(draw.randrange(1, 12))}
-        matches, opened = packing.plan(counts, 50)
-        gaps, single = [], {}
-        for size in sorted((s for s, n in counts.items() for _ in range(n)), reverse=True):
-            fits = [g for g in gaps if g >= size]
-            if fits:
-                gaps.remove(min(fits))
-                gaps.append(min(fits) - size)
-            else:
-                gaps.append(50 - size)
-        assert opened == len(gaps)
-        for m in matches:
-            for rank in range(m.low, m.high):
-                nth = rank - m.low
-                single.setdefault(m.sequence + nth // m.each, []).append((m.offset + nth % m.each * m.length, m.length))
-        assert sum(map(len, single.values())) == sum(counts.values())
-        for parts in single.values():
-            at = 0
-            for offset, length in sorted(parts):
-                assert offset == at
-                at += length
-            assert at <= 50
+    for n in range(60):
+        capacity = draw.choice([10, 50, 200])
+        counts = {draw.randrange(1, capacity): draw.randrange(1, 30) for _ in range(draw.randrange(1, 12 + n))}
+        state, rounds = [(packing.PIECES, size, 0, many, 0, 0, 0) for size, many in counts.items()], 0
+        done = []
+        while any(r[0] == packing.PIECES for r in state):
+            state = packing.sweep(state, capacity)
+            done += [r for r in state if r[0] == packing.MATCH]
+            rounds += 1
+        parts = packed_sequences(done, capacity)
+        sizes = [size for size, many in counts.items() for _ in range(many)]
+        assert sorted((size, rank) for own in parts.values() for _, size, rank in own) == sorted((size, rank) for size, many in counts.items() for rank in range(many))
+        assert len(parts) <= rounds_piece_by_piece(sizes, capacity)
+        assert len(parts) <= 1.03 * best_fit_decreasing(sizes, capacity) + 2
+
+
+def test_packing_rounds_in_spark(spark):
+    draw = random.Random(21)
+    sizes = [draw.randrange(1, 64) for _ in range(900)]
+    rows = [(None if i % 7 == 0 else i % 500, 0, 0, n, draw.randrange(9)) for i, n in enumerate(sizes)] + [(1, 1, 3, 64, 5)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    got = packing.pack(df, 64).collect()
+    assert sorted((r.doc_id or -1, r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted((r[0] or -1, *r[1:]) for r in rows)
+    parts = {}
+    for r in got:
+        parts.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in parts.values():
+        assert [o for o, _ in sorted(own)] == [sum(n for _, n in sorted(own)[:i]) for i in range(len(own))] and sum(n for _, n in own) <= 64
+    assert len(parts) <= 1.02 * (3 + best_fit_decreasing(sizes, 64))
+
+
+def test_remembered_chunks_give_the_ids_of_the_library():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(JSON)
+    enc = packing.Encoder(JSON)
+    some = [chr(c) for c in [*range(0x3000 + 0x100), *range(0xD7F0, 0xD800), *range(0xE000, 0xE010), 0xFEFF, 0xFF10, 0x1D7CE, 0x1F642, 0x10FFFF]]
+    texts = [f"a{c}{c} b {c}1 {c}  {c} ' {c}\n{c}" for c in some] + [x or "" for x in ODD] + ["a<|endoftext|>b  c", "\x1c \x1d  x\xa0  y \u3000 z"]
+    for _ in range(2):
+        assert enc.encode(texts) == [np.asarray(e.ids, "<u4").tobytes() for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
 def test_packing_covers_every_token(spark):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    got = packing.pack_documents(frame(spark, ODD), RANKS, P.PATTERN, capacity=64).collect()
+    t = Tokenizer.from_file(JSON)
+    texts = [*ODD, ODD[8], "<|endoftext|>", "x y " * 9000]
+    got = packing.pack_documents(frame(spark, texts), JSON, capacity=64).collect()
     by_doc, by_sequence = {}, {}
     for r in got:
         by_doc.setdefault(r.doc_id, []).append(r)
         by_sequence.setdefault(r.sequence_id, []).append(r)
-    for i, text in enumerate(ODD):
+    for i, text in enumerate(texts):
         ids = [*t.encode(text or "", add_special_tokens=False).ids, 0]
         parts = sorted(by_doc[i], key=lambda r: r.piece)
         assert [p.piece for p in parts] == list(range(len(parts))) and sum(p.length for p in parts) == len(ids)
@@ -115,7 +187,7 @@ def test_packing_covers_every_token(spark):
             assert p.offset == at
             at += p.length
         assert at <= 64
-    assert packing.pack_documents(frame(spark, ODD).limit(0), RANKS, P.PATTERN).count() == 0
+    assert packing.pack_documents(frame(spark, ODD).limit(0), JSON).count() == 0
 
 
 def test_fingerprints_are_homomorphic_and_order_free():
