@@ -3,7 +3,8 @@
 Old shard sizes and new capacities make a flow network: each shard may keep rows at no cost, or
 send blocks of rows, smallest rows first, through a hub to shards with room, at the block's mean
 bytes for each row.  The solver sends the fewest bytes that reach the capacities.  The network
-has one node for each shard and one arc for each size class of a shard, whatever the row count.
+has one node for each shard and up to three arcs: the rows that a shard must give, the one more that it
+may have to give, and the rest; so the mean is exact where the flow has a choice.
 
 Rows are then ranked by size within their shard (a range sort, no shard in one task); the first
 ranks of a shard with a surplus move, as the flow says, and every slot follows from a rank.
@@ -12,6 +13,7 @@ Only shards that give or take rows need their files written again.
 
 from __future__ import annotations
 
+import uuid
 from collections import deque
 from dataclasses import dataclass
 
@@ -133,29 +135,35 @@ def reshard(docs: DataFrame, shards: int, old_shard: str | None = None, id_col:
     Returns (id, size, text_crc32, old_shard, shard, slot) and the transfers.  ``old_shard``
     names a column with the present shard (null: shard 0; shards beyond the new ones are
     emptied); without it the rows are taken to lie by the crc32 of their id.  A null text has no
-    bytes, an empty table has no shards.  Repeated rows are placed each by itself; slots of rows
+    bytes; a very long one is a large row like others.  An empty table has no shards.  Columns other
+    than the id, the text and ``old_shard`` are ignored, whatever their names.  Repeated rows are placed each by itself; slots of rows
     alike in shard, size, text and id are dealt in any order.
     """
     size = (F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + OVERHEAD).cast("long")
     crc = F.crc32(text_or_empty(text_col).cast("binary"))
     old = fold(shards, id_col) if old_shard is None else F.coalesce(F.col(old_shard), F.lit(0))
     rows = docs.select(F.col(id_col).alias("_id"), size.alias("size"), crc.alias("text_crc32"), old.cast("int").alias("old_shard"))
-    ranked, _ = global_rank(rows, ["old_shard"], ["size", "text_crc32", "_id"])
-    by_class = ranked.groupBy("old_shard", F.floor(F.log2("size")).alias("c")).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("b"))
-    blocks: dict[int, list[tuple[int, int]]] = {s: [] for s in range(shards)}
-    for r in sorted(by_class.collect()):  # a row for each shard and power of two
-        blocks.setdefault(r["old_shard"], []).append((r["n"], r["b"]))
-    held = {s: sum(n for n, _ in b) for s, b in blocks.items()}
+    ranked, runs = global_rank(rows, ["old_shard"], ["size", "text_crc32", "_id"])
+    spark = docs.sparkSession
+    held = {r["old_shard"]: r["n"] for r in runs.groupBy("old_shard").agg(F.sum("_n").alias("n")).collect()}  # a row for each shard
+    held = dict.fromkeys(range(shards), 0) | held
     least, spare = divmod(sum(held.values()), shards)
+    # A shard gives its smallest rows: those that it gives in any case, then the one that it may keep as a spare.
+    surely = {s: max(0, n - least - 1) if s < shards else n for s, n in held.items()}
+    bound = spark.createDataFrame(sorted(surely.items()), "s int, sure long")
+    part = F.least(F.greatest(F.col("_rank") - F.col("sure") + 1, F.lit(0)), F.lit(2))
+    by_part = ranked.join(F.broadcast(bound), F.col("old_shard") == F.col("s")).groupBy("old_shard", part.alias("c")).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("b"))
+    blocks: dict[int, list[tuple[int, int]]] = {s: [] for s in held}
+    for r in sorted(by_part.collect()):  # three rows for each shard at most
+        blocks[r["old_shard"]].append((r["n"], r["b"]))
     moves = plan(blocks, dict.fromkeys(range(shards), least), spare)
     gone = {s: sum(m.rows for m in moves if m.source == s) for s in held}
-    filled = {s: held.get(s, 0) - gone.get(s, 0) for s in range(shards)}
+    filled = {s: held[s] - gone[s] for s in range(shards)}
     legs, start = [], dict.fromkeys(held, 0)
     for m in moves:
         legs.append((m.source, start[m.source], start[m.source] + m.rows, m.target, filled[m.target]))
         start[m.source] += m.rows
         filled[m.target] += m.rows
-    spark = docs.sparkSession
     table = spark.createDataFrame(legs, "f int, lo long, hi long, target int, base long")
     leaves = spark.createDataFrame(sorted(gone.items()), "g int, gone long")
     moved = (F.col("old_shard") == F.col("f")) & (F.col("_rank") >= F.col("lo")) & (F.col("_rank") < F.col("hi"))
@@ -165,16 +173,38 @@ def reshard(docs: DataFrame, shards: int, old_shard: str | None = None, id_col:
     return out, moves
 
 
-def rewrite_files(docs: DataFrame, placement: DataFrame, moves: list[Transfer], path: str, id_col: str = "doc_id") -> list[int]:
+def rewrite_files(docs: DataFrame, placement: DataFrame, moves: list[Transfer], path: str, id_col: str = "doc_id", files: int | None = None) -> list[int]:
     """Write the shards that give or take rows as ``path``/shard=N, and leave the others' files.
 
-    docs and placement are joined by id, which must be unique.  Returns the shards written.
+    docs and placement are joined by id, which must be unique.  Rows are dealt over ``files`` tasks by
+    ranges of shard and slot, so a large shard is written by several.  The new files are written
+    beside the old ones first; then each shard is exchanged by renaming, and the files of an emptied
+    shard go.  So docs may be read from the same path, but must be read anew afterwards.  Returns
+    the shards that were exchanged.
     """
     touched = sorted({s for m in moves for s in (m.source, m.target)})
     if not touched:
         return []
+    spark = docs.sparkSession
     where = placement.filter(F.col("shard").isin(touched)).select(id_col, "shard", "slot")
     held = docs.drop("shard", "slot")
-    ordered = held.join(where, id_col).repartition("shard").sortWithinPartitions("shard", "slot")
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
+    parts = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = held.join(where, id_col).repartitionByRange(parts, "shard", "slot").sortWithinPartitions("shard", "slot")
+    mark = uuid.uuid4().hex
+    new, old = f"{path}/_new-{mark}", f"{path}/_old-{mark}"
+    ordered.write.partitionBy("shard").parquet(new)
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    store = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(place(old))
+
+    def move(a: str, b: str) -> None:
+        if store.exists(place(a)) and not store.rename(place(a), place(b)):
+            raise OSError(f"{a} could not be renamed to {b}")
+
+    for shard in touched:
+        move(f"{path}/shard={shard}", f"{old}/shard={shard}")
+        move(f"{new}/shard={shard}", f"{path}/shard={shard}")
+    for folder in (new, old):
+        store.delete(place(folder), True)
+    spark.catalog.refreshByPath(path)
     return touched

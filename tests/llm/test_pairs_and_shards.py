@@ -222,6 +222,40 @@ def test_only_touched_shards_are_written(spark, tmp_path):
     assert sharding.rewrite_files(df, placed, [], path) == []
 
 
+@pytest.mark.parametrize("before,after", [(4, 2), (2, 4), (3, 3), (5, 1)])
+def test_rewritten_files_hold_every_row_once(spark, tmp_path, before, after):
+    draw = random.Random(before)
+    rows = [(i, "x" * draw.randrange(200), draw.randrange(before) if i % 3 else 0) for i in range(90)]
+    path = str(tmp_path / "shards")
+    spark.createDataFrame(rows, "doc_id long, text string, shard int").withColumn("slot", F.lit(0).cast("long")).write.partitionBy("shard").parquet(path)
+    stored = spark.read.parquet(path).withColumn("old", F.col("shard"))  # read from the path that is rewritten
+    placed, moves = sharding.reshard(stored, after, old_shard="old")
+    wanted = {r.doc_id: (r.shard, r.slot) for r in placed.collect()}
+    touched = sharding.rewrite_files(stored, placed, moves, path, files=3)
+    assert set(touched) == {s for m in moves for s in (m.source, m.target)}
+    got = spark.read.parquet(path).collect()
+    texts = {i: t for i, t, _ in rows}
+    assert sorted((r.doc_id, r.text) for r in got) == sorted(texts.items())
+    assert {r.shard for r in got} == set(range(after))
+    assert all((r.shard, r.slot) == wanted[r.doc_id] for r in got if r.shard in touched)
+    assert [p.name for p in (tmp_path / "shards").iterdir() if p.name.startswith(("_new", "_old"))] == []
+
+
+def test_reshard_moves_the_fewest_bytes_of_rows_unlike_in_size(spark):
+    draw = random.Random(17)
+    for shards in (2, 3, 5):
+        rows = [(i, "x" * int(2 ** draw.uniform(0, 11)), min(draw.randrange(shards + 1), draw.randrange(shards + 1))) for i in range(67)]
+        placed, _ = sharding.reshard(spark.createDataFrame(rows, "doc_id long, text string, old int"), shards, old_shard="old")
+        cost = sum(r["size"] for r in placed.collect() if r.shard != r.old_shard)
+        sizes = {s: sorted(len(t) + 16 for _, t, o in rows if o == s) for s in range(shards + 1)}
+        least, spare = divmod(len(rows), shards)
+        best = min(
+            sum(sum(own[: max(0, len(own) - (0 if s == shards else least + (s in bigger)))]) for s, own in sizes.items())
+            for bigger in itertools.combinations(range(shards), spare)
+        )
+        assert cost == best
+
+
 def test_queries_return_their_contracts(spark, sf_dir):
     from corpusloom.llm import queries
 
