@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,13 +26,28 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or a temporary folder where it is unset, as in tests on one machine."""
+    """``spark.checkpoint.dir``; where it is unset, a temporary folder if all runs on one machine, else an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return sc.getCheckpointDir()
 
 
+def hidden(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with its columns renamed own_0, own_1, ... so that no name of theirs can clash, and the new name of each."""
+    names = {c: f"own_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def shown(names: dict[str, str], without: Iterable[str] = ()) -> list[Column]:
+    """The columns of ``hidden`` under their own names, but for those that the names ``without`` replace."""
+    replaced = {c.lower() for c in without}
+    return [F.col(own).alias(c) for c, own in names.items() if c.lower() not in replaced]
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage in the shared checkpoint folder; a lost executor loses nothing of it.
 

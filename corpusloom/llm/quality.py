@@ -4,8 +4,9 @@
 denominator, least, most) into boolean columns, and ``apply_rules`` evaluates both in the scan's
 own stage: no shuffle, no user function.
 
-A null text has no words and no lines.  Repeated rows are judged each by itself.  A ratio over
-zero counts as 0.  Extra columns are kept; a column of the same name as a measure is replaced.
+A null text has no words and no lines.  Repeated rows and null ids are judged each by itself; an
+empty table gives an empty one, and a very long text is judged as a whole.  A ratio over
+zero counts as 0.  Extra columns are kept; one of the name of a measure or a rule is replaced.
 Windows of words are compared by a 64-bit hash within their document.
 """
 
@@ -16,10 +17,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import hidden, shown, text_or_empty
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stop_words")
 PUNCTUATION = ".,;:!?\"'()"
 WINDOW = 8
 #: Frequent function words of the four languages.
@@ -61,19 +63,18 @@ def _without(text: Column, characters: str) -> Column:
     return F.translate(text, characters, "")
 
 
-def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_stop_words.
+def measures(docs: DataFrame, text_col: str = "text", replaced: tuple[str, ...] = ()) -> DataFrame:
+    """Adds the MEASURES; columns of their names, or of the names ``replaced``, go.
 
     Arrays stand in projections of their own and are used more than once in the next, so that
     the optimizer keeps them and no lambda works them out again for each element.
     """
     text = F.col("_q_text")
-    names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stop_words"]
-    out = docs.drop(*[c for c in names if c in docs.columns])
+    out, names = hidden(docs)
     keep = out.columns
     words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+", -1), lambda w: w != "")
     lines = F.filter(F.split(text, "\n", -1), lambda x: _without(x, SPACE) != "")
-    out = out.withColumn("_q_text", text_or_empty(text_col))
+    out = out.withColumn("_q_text", text_or_empty(names[text_col]))
     out = out.select(
         *keep,
         words.alias("_q_words"),
@@ -104,7 +105,7 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     at = F.col("_q_at")
     covered = F.transform(at, lambda p, i: F.least(F.lit(WINDOW), F.coalesce(F.get(at, i + 1) - p, F.lit(WINDOW))))
     total = F.coalesce(F.aggregate(covered, F.lit(0), lambda a, x: a + x), F.lit(0))
-    return out.select(*keep, *counts, total.cast("long").alias("n_repeat_words"))
+    return out.select(*shown(names, (*MEASURES, *replaced)), *counts, total.cast("long").alias("n_repeat_words"))
 
 
 def compile_rules(rules: tuple[Rule, ...]) -> dict[str, Column]:
@@ -125,8 +126,8 @@ def compile_rules(rules: tuple[Rule, ...]) -> dict[str, Column]:
 
 def apply_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
     """Adds the measures, a column for each rule, and ``passed``."""
-    measured = measures(docs, text_col)
     columns = compile_rules(rules)
+    measured = measures(docs, text_col, (*columns, "passed"))
     passed = F.lit(True)
     for c in columns.values():
         passed = passed & c
