@@ -63,11 +63,13 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), "n_chars", "n_removed")
 
 
+_WHITE = " || ".join(f"chr({ord(c)})" for c in linededup.WHITE)
 OP8_SQL = f"""
-WITH l AS (SELECT doc_id, source, pos, line, length(trim(line)) - length(replace(trim(line), ' ', '')) >= {linededup.MIN_WORDS - 1} AS counted
+WITH l AS (SELECT doc_id, source, pos, line, length(translate(line, {_WHITE}, '')) AS n
   FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)),
-b AS (SELECT line, min(doc_id) AS owner FROM l WHERE counted GROUP BY line HAVING count(DISTINCT source) >= {linededup.MIN_SITES}),
-k AS (SELECT l.doc_id, l.pos, l.line, counted AND b.line IS NOT NULL AND l.doc_id <> b.owner AS gone FROM l LEFT JOIN b ON l.line = b.line),
+b AS (SELECT line, min(doc_id) AS owner FROM l WHERE n > 0 GROUP BY line
+  HAVING count(DISTINCT source) >= CASE WHEN max(n) >= {linededup.SHORT} THEN {linededup.MIN_SITES} ELSE {linededup.SHORT_SITES} END),
+k AS (SELECT l.doc_id, l.pos, l.line, b.line IS NOT NULL AND l.doc_id <> b.owner AS gone FROM l LEFT JOIN b ON l.line = b.line),
 t AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text, CAST(count(*) FILTER (gone) AS BIGINT) AS n_removed FROM k GROUP BY doc_id)
 SELECT d.doc_id, md5(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t.text, '') END) AS text_md5,
   CAST(length(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t.text, '') END) AS BIGINT) AS n_chars, coalesce(t.n_removed, 0) AS n_removed

@@ -215,36 +215,49 @@ def test_edits_are_taken_from_the_next_document(spark):
     assert fingerprint.compare_with_edits(frame(spark, ["a"]).limit(0)).count() == 0
 
 
-def brute_lines(rows, sites, words):
+def brute_lines(rows, sites, short_sites, short):
     spread, owner = {}, {}
     for i, text, site in rows:
         for line in set((text or "").split("\n")):
-            if len(line.strip(" ")) - len(line.strip(" ").replace(" ", "")) >= words - 1:
+            if line.strip(" \t\x0b\x0c\r"):
                 spread.setdefault(line, set()).update({site} - {None})
                 owner[line] = min(owner.get(line, i), i)
-    out = {}
-    for i, text, _ in rows:
-        kept = None if text is None else "\n".join(x for x in text.split("\n") if not (x in spread and len(spread[x]) >= sites and owner[x] != i))
-        out[i] = kept
-    return out
+    common = {x for x, found in spread.items() if len(found) >= (sites if len(re.sub(r"[ \t\x0b\x0c\r]", "", x)) >= short else short_sites)}
+    kept = {i: [x for x in (text or "").split("\n") if x not in common or owner[x] == i] for i, text, _ in rows}
+    return {i: (text if text is None else "\n".join(kept[i]), (text or "").count("\n") + 1 - len(kept[i])) for i, text, _ in rows}
 
 
+@pytest.mark.parametrize("sent", [0, 500_000])
 @pytest.mark.parametrize("sites", [2, 4, 40])
-def test_line_dedup_equals_exact_spread(spark, sites):
+def test_line_dedup_equals_exact_spread(spark, monkeypatch, sites, sent):
+    monkeypatch.setattr(linededup, "SENT", sent)
     draw = random.Random(3)
-    pool = [f"shared line number {i} of many words" for i in range(12)] + ["short one", "", "   "]
+    pool = [f"shared line number {i} of many words" for i in range(12)] + ["short one", "", "   ", "\t", "共有の行" * 6]
     rows = [(i, "\n".join(draw.choice(pool) if draw.random() < 0.7 else f"own words of the document {i}" for _ in range(6)), draw.choice([None, *[f"s{k}" for k in range(60)]])) for i in range(150)]
-    rows += [(150, None, "s1"), (151, "", "s1")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("n_chars", F.length("text").cast("long")).withColumn("k", F.lit("clash"))
-    got = linededup.remove_boilerplate(df, min_sites=sites, min_words=5).collect()
-    wanted = brute_lines(rows, sites, 5)
+    many = [f"line {n} that long documents share" for n in range(150)]
+    rows += [(150, None, "s1"), (151, "", "s1"), *[(152 + k, "\n".join(many * 2 + [f"own {k}"]), f"s{k}") for k in range(45)]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("n_chars", F.length("text").cast("long"))
+    for clash in ("k", "id", "_id", "site", "N_REMOVED", "own_0", "buckets", "kept"):
+        df = df.withColumn(clash, F.lit("clash"))
+    found = linededup.remove_boilerplate(df, sites, 2 * sites)
+    assert found.columns == [*(c for c in df.columns if c != "N_REMOVED"), "n_removed"]
+    wanted = brute_lines(rows, sites, 2 * sites, linededup.SHORT)
+    got = found.collect()
     assert len(got) == len(rows)
     for r in got:
-        assert r.text == wanted[r.doc_id]
-        assert r.n_chars == (None if r.text is None else len(r.text)) and r.k == "clash"
+        assert (r.text, r.n_removed) == wanted[r.doc_id]
+        assert r.n_chars == (None if r.text is None else len(r.text)) and r.k == r.own_0 == "clash"
     assert linededup.remove_boilerplate(df.limit(0)).count() == 0
 
 
+def test_line_dedup_takes_repeated_and_null_ids_as_documents(spark):
+    line = "a line that every site of this table has"
+    rows = [(1, line, "a"), (1, line, "b"), (2, f"{line}\nown", "c"), (None, line, "d"), (None, "own", "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted(((r.doc_id or 0, r.source, r.text) for r in linededup.remove_boilerplate(df, 4).collect()))
+    assert got == [(0, "d", ""), (0, "e", "own"), (1, "a", line), (1, "b", line), (2, "c", "own")]
+
+
 def test_language_backs_off_for_unseen_words(spark):
     teach = [("the cat and the dog sat there " * 3, "en"), ("le chat et le chien aimaient " * 3, "fr"), (None, "en"), ("words", None)] * 3
     model = language.train(spark.createDataFrame(teach, "text string, lang string"))
