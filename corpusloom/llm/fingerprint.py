@@ -5,16 +5,18 @@ vector and the document's fingerprint is the sum of these vectors:
 
 - ``EXACT`` lanes modulo 2^64 from a 512-bit hash of the paragraph: equal multisets, and no
   others in practice, have equal lanes, in whatever order the paragraphs stand;
-- ``SKETCH`` lanes modulo 2^16: each run of three words adds +1 or -1 to one lane, both hashed,
-  so that the cosine of two sums estimates how much of the texts is common.
+- ``SKETCH`` lanes modulo 2^32: each run of three words adds +1 or -1 to one lane, both hashed,
+  so that the cosine of two sums estimates how much of the texts is common.  A text has fewer than
+  2^31 bytes, so no lane of a text wraps.
 
 Sums can be added and subtracted: inserting or deleting a paragraph adds or subtracts its vector.
 
-Null texts count as empty; the empty text is one empty paragraph.
+Null texts count as empty; the empty text is one empty paragraph.  Texts without a word are alike.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Iterator
 
@@ -28,6 +30,9 @@ from .common import id_as_text, id_restored, small_batches, text_or_empty
 EXACT = 8
 SKETCH = 256
 SEED = 7
+#: Bytes of text in a range of ids, and how many ranges there are at most.
+RANGE_BYTES = 16 << 20
+MOST_RANGES = 50_000
 
 
 class Fingerprint:
@@ -37,7 +42,7 @@ class Fingerprint:
 
     def __init__(self, exact: np.ndarray | None = None, sketch: np.ndarray | None = None) -> None:
         self.exact = np.zeros(EXACT, np.uint64) if exact is None else exact
-        self.sketch = np.zeros(SKETCH, np.int16) if sketch is None else sketch
+        self.sketch = np.zeros(SKETCH, np.int32) if sketch is None else sketch
 
     @classmethod
     def of(cls, text: str) -> Fingerprint:
@@ -57,7 +62,7 @@ class Fingerprint:
         h = np.array(hashes, np.uint64)
         signs = np.where(h >> np.uint64(63), 1.0, -1.0)
         sums = np.bincount((h % np.uint64(SKETCH)).astype(np.int64), signs, SKETCH).astype(np.int64)
-        return cls(exact, (sums & 0xFFFF).astype(np.uint16).view(np.int16))
+        return cls(exact, sums.astype(np.int32))
 
     def __add__(self, other: Fingerprint) -> Fingerprint:
         return Fingerprint(self.exact + other.exact, self.sketch + other.sketch)
@@ -71,11 +76,11 @@ class Fingerprint:
     __hash__ = None
 
     def hex(self) -> str:
-        return self.exact.astype("<u8").tobytes().hex() + self.sketch.astype("<i2").tobytes().hex()
+        return self.exact.astype("<u8").tobytes().hex() + self.sketch.astype("<i4").tobytes().hex()
 
     def likeness(self, other: Fingerprint) -> float:
-        """Cosine of the sketches, from 0 to 1; 1 for equal fingerprints."""
-        if self == other:
+        """Cosine of the sketches, from 0 to 1; 1 for equal fingerprints and for two without a word."""
+        if self == other or not (self.sketch.any() or other.sketch.any()):
             return 1.0
         a, b = self.sketch.astype(float), other.sketch.astype(float)
         norm = float(np.sqrt((a @ a) * (b @ b)))
@@ -100,32 +105,51 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return id_restored(out, docs, id_col)
 
 
+def _order(key: int | str | None, text_hash: int) -> tuple:
+    """Sorts like (id with nulls first, hash)."""
+    return (0, 0, text_hash) if key is None else (1, key, text_hash)
+
+
 def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every text and of its edit with the next document by ascending id.
 
     Each row needs the text after it in the order of ids.  Texts are dealt once into ranges of
-    ids, the first text of a range is also dealt to the range before it, and each range is then
-    read in order, one row at a time.  Of an edit only the paragraphs from the cut on are hashed
-    again: their old vectors are subtracted and the new ones added.  Null ids come first; rows
-    with equal ids are ordered by text.  An empty table gives an empty one.
+    (id, hash of the text), about ``RANGE_BYTES`` each, the first text of a range is also dealt to the range
+    before it, and each range is then read in order, one row at a time.  The first row follows the last.  Of an edit only
+    the paragraphs from the cut on are hashed again: their old vectors are subtracted and the new ones
+    added.  Whole numbers are ordered as such, other ids as text.  Null ids come first; rows with equal
+    ids are ordered by the hash of their text, so many of them make several ranges.  Columns other than the
+    id and the text are ignored, whatever their names.  An empty table gives an empty one.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    whole = docs.select(F.col(id_col).alias("_key"), id_as_text(id_col), text_or_empty(text_col).alias("_text"))
-    cuts = [i / parts for i in range(1, parts)] or [0.5]
-    first = whole.agg(F.min("_key").alias("low"), F.count(F.lit(1)).alias("n"), F.percentile_approx("_key", F.array(*[F.lit(c) for c in cuts]), F.lit(max(1000, 20 * parts))).alias("at")).first()
-    # Bounds are ids that exist, one for each range of rows.
-    bounds = sorted(set(first["at"] or []) - {first["low"]})
-    after = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<bigint>")
-    place = F.coalesce(F.size(F.filter(after, lambda b: b <= F.col("_key"))), F.lit(0))
-    # The lowest row follows the last one.
-    opening = F.col("_key").isin(*bounds) if bounds else F.lit(False)
-    own = whole.select("*", place.alias("_range"), F.lit(0).alias("_extra"))
-    head = whole.filter(F.col("_key").isNull() | F.col("_key").eqNullSafe(F.lit(first["low"]))).orderBy(F.col("_key").asc_nulls_first(), "_text").limit(1)
-    nexts = own.filter(opening).groupBy("_key", "_range").agg(F.min_by("_id", "_text").alias("_id"), F.min("_text").alias("_text")).select("_key", "_id", "_text", (F.col("_range") - 1).alias("_range"), F.lit(1).alias("_extra"))
-    tail = head.select("_key", "_id", "_text", F.lit(len(bounds)).alias("_range"), F.lit(2).alias("_extra"))
-    dealt = own.unionByName(nexts).unionByName(tail).repartitionById(len(bounds) + 1, F.col("_range")).sortWithinPartitions("_range", "_extra", F.col("_key").asc_nulls_first(), "_text")
+    whole_numbers = docs.schema[id_col].dataType.typeName() in ("byte", "short", "integer", "long")
+    key = F.col(id_col).cast("long" if whole_numbers else "string").alias("_key")
+    whole = docs.select(key, id_as_text(id_col), text_or_empty(text_col).alias("_text")).withColumn("_hash", F.xxhash64("_text"))
+    size = whole.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    parts = min(MOST_RANGES, 1 + size // RANGE_BYTES)
+    sorted_keys = whole.select("_key", "_hash").repartitionByRange(parts, "_key", "_hash").withColumn("_part", F.spark_partition_id())
+    lowest = sorted_keys.groupBy("_part").agg(F.min(F.struct("_key", "_hash")).alias("m")).collect()  # a row for each range
+    bounds = sorted(_order(r["m"]["_key"], r["m"]["_hash"]) for r in lowest)
+    shared = spark.sparkContext.broadcast(bounds)
+
+    @F.pandas_udf("long")
+    def placed(keys: pd.Series, hashes: pd.Series) -> pd.Series:
+        """Twice the range, plus one for rows that open it."""
+        places = []
+        for k, h in zip(keys, hashes, strict=True):
+            own = _order(None if k is None else int(k) if whole_numbers else k, int(h))
+            at = max(0, bisect.bisect_right(shared.value, own) - 1)
+            places.append(2 * at + (shared.value[at] == own))
+        return pd.Series(places, dtype="int64")
+
+    place = placed(F.col("_key").cast("string"), "_hash")
+    own = whole.select("*", place.alias("_place")).select("*", F.shiftright("_place", 1).cast("int").alias("_range"), F.lit(0).alias("_extra"))
+    opening = own.filter(F.col("_place") % 2 == 1).groupBy("_range").agg(F.min(F.struct("_text", "_id")).alias("m"))
+    before = F.pmod(F.col("_range") - 1, F.lit(max(1, len(bounds)))).cast("int")
+    nexts = opening.select(F.lit(None).cast(own.schema["_key"].dataType).alias("_key"), "m._id", "m._text", F.lit(0).cast("long").alias("_hash"), before.alias("_range"), F.lit(1).alias("_extra"))
+    dealt = own.drop("_place").unionByName(nexts).repartitionById(max(1, len(bounds)), F.col("_range"))
+    dealt = dealt.sortWithinPartitions("_range", "_extra", F.col("_key").asc_nulls_first(), "_hash", "_text")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: tuple | None = None

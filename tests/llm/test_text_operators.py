@@ -198,6 +198,68 @@ def test_fingerprints_are_homomorphic_and_order_free():
     assert of("a\na") != of("a") and of("").likeness(of("")) == 1.0 and of("").likeness(of("x")) == 0.0
 
 
+def plain_lanes(text):
+    """Lanes by the definition, with Python's own numbers."""
+    import xxhash
+
+    exact, sketch = [0] * 8, [0] * 256
+    for line in text.split("\n"):
+        digest = hashlib.blake2b(line.encode(), digest_size=64).digest()
+        exact = [(x + int.from_bytes(digest[8 * i : 8 * i + 8], "little")) % 2**64 for i, x in enumerate(exact)]
+        words = [b"", b"", *line.encode().split()]
+        for i in range(len(words) - 2):
+            h = xxhash.xxh64_intdigest(b" ".join(words[i : i + 3]), 7)
+            sketch[h % 256] += 1 if h >> 63 else -1
+    return exact, sketch
+
+
+def plain_likeness(a, b):
+    (x, u), (y, v) = plain_lanes(a), plain_lanes(b)
+    if (x, u) == (y, v) or not (any(u) or any(v)):
+        return 1.0
+    norm = (sum(i * i for i in u) * sum(i * i for i in v)) ** 0.5
+    return max(0.0, sum(i * j for i, j in zip(u, v, strict=True)) / norm) if norm else 0.0
+
+
+def plain_hex(text):
+    exact, sketch = plain_lanes(text)
+    return b"".join(x.to_bytes(8, "little") for x in exact).hex() + b"".join((x % 2**32).to_bytes(4, "little") for x in sketch).hex()
+
+
+def test_likeness_holds_for_any_count_of_a_word():
+    of = fingerprint.Fingerprint.of
+    for n in (32768, 40000, 65536):
+        a, b = of("a b c\n" * n), of("a b c\n" * (n - 1))
+        assert a.likeness(b) == pytest.approx(1.0) and a != b
+    assert of(" ").likeness(of("\n\n")) == 1.0 and of(" ").likeness(of("x")) == 0.0
+
+
+@pytest.mark.parametrize("bytes_a_range", [200, 16 << 20])
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_edits_equal_plain_python_for_any_ids(spark, monkeypatch, kind, bytes_a_range):
+    monkeypatch.setattr(fingerprint, "RANGE_BYTES", bytes_a_range)
+    draw = random.Random(18)
+    ids = draw.sample(range(10**9), 60)
+    rows = [(i if kind == "long" else f"é{i}", draw.choice(["", None, f"one two three {i}\nfour {i}", "same\ntext", "word " * draw.randrange(200)])) for i in ids]
+    df = spark.createDataFrame(rows, f"doc_id {kind}, text string").withColumn("_key", F.lit("clash")).withColumn("m", F.lit("clash"))
+    order = sorted(rows)
+    got = {r.doc_id: r for r in fingerprint.compare_with_edits(df).collect()}
+    assert len(got) == len(rows)
+    for at, (i, text) in enumerate(order):
+        text, following = text or "", order[(at + 1) % len(order)][1] or ""
+        k = len(text) // 4
+        new = text[: len(text) - k] + following[:k]
+        r = got[i]
+        assert r.n_chars == len(text) and r.edited_sha256 == hashlib.sha256(new.encode()).hexdigest()
+        assert r.fingerprint == plain_hex(text) and r.edited_fingerprint == plain_hex(new)
+        assert r.near_edited == pytest.approx(plain_likeness(text, new)) and r.near_next == pytest.approx(plain_likeness(text, following))
+    # Null and repeated ids: every row has its own, and follows in the order of ids.
+    many = [(None, f"null {i}") for i in range(40)] + [(rows[0][0], f"again {i}") for i in range(40)]
+    found = fingerprint.compare_with_edits(spark.createDataFrame(rows[1:] + many, f"doc_id {kind}, text string")).collect()
+    assert len(found) == 139 and sum(r.doc_id is None for r in found) == 40
+    assert sorted(r.fingerprint for r in found) == sorted(plain_hex(t or "") for _, t in rows[1:] + many)
+
+
 def test_edits_are_taken_from_the_next_document(spark):
     texts = [t for t in ODD] + ["line %d\nwith words of its own %d" % (i, i) for i in range(30)]
     got = {r.doc_id: r for r in fingerprint.compare_with_edits(frame(spark, texts)).collect()}
