@@ -1,16 +1,23 @@
 """Personal data by candidate gradient boosting, in native expressions only.
 
 1. Strict patterns with validators (octets, Luhn, digit counts) give base spans: they always stay.
-2. High-recall generators propose spans that may overlap each other and the base.
-3. Each candidate has twelve yes/no features of its format and context.  Candidates of all
-   documents are counted by feature pattern and by whether a validator confirms them, which makes
-   at most 2^12 rows; boosted trees of depth two are fitted to the patterns of one half of the
-   documents, and the threshold is set on the other half for a wanted precision.
-4. The trees are compiled into one column expression; candidates that reach the threshold and
-   touch no base span are added.
+2. High-recall generators propose spans that may overlap each other and the base: addresses
+   with a spelt-out at or dot, digits in any grouping, colon groups.
+3. Each candidate has twelve yes/no features of its format and context, none of which shows what the
+   validator of its kind looks at: the form of an address without its spellings, the eight groups of a long ip,
+   the check digit of a card, the plus sign of a phone.  The validator's word is the label.
+   Candidates of all documents are counted by feature pattern and label, which makes at most
+   2^12 rows; boosted trees of depth two are fitted to the patterns of one half of the documents,
+   and for each kind a threshold is set on the other half for a wanted precision.
+4. The trees are compiled into one column expression.  A candidate that touches no base span is
+   added if it reaches the threshold of its kind and is not refuted: addresses, ips and cards must pass
+   their validator once separators and spellings are removed; a phone need only have 8 to 15
+   digits, as it is the plus sign that it lacks.
 
 Positions are code points from 0, ends exclusive.  Null texts count as empty; repeated rows are
-searched each by itself; other columns are kept.  Without candidates no span is added.
+searched each by itself; null ids are one id; other columns are kept, whatever their names, but for
+``base_spans`` and ``spans``.  Without candidates, or with too few to set a threshold, no span is added.
+An empty table gives an empty one.
 
 Positions of matches come from splitting the text at the pattern and summing lengths, in blocks,
 so the work stays near linear for a text with very many matches.  The patterns are possessive:
@@ -26,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import hidden, shown, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 #: Matches of the strict patterns, leftmost and without overlap.
@@ -38,7 +45,7 @@ STRICT = {
 }
 #: Generators of candidates: anything around an at sign, digits in any grouping, colon groups.
 LOOSE = {
-    "at": r"(?:\G|(?<![^\s@<>()\",;]))[^\s@<>()\",;]++\x20?(?:@|\(at\)|\[at\])\x20?[^\s@<>()\",;]++",
+    "at": r"(?:\G|(?<![^\s@<>()\[\]\",;]))[^\s@<>()\[\]\",;]++\x20?(?:@|\(at\)|\[at\])\x20?[^\s@<>()\[\]\",;]++(?:\x20?(?:\(dot\)|\[dot\])\x20?[^\s@<>()\[\]\",;]++)*+",
     "digits": r"[+(]?[0-9][0-9\x20().-]{5,30}[0-9]",
     "colons": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){5,7}[0-9A-Fa-f]{1,4}",
 }
@@ -81,6 +88,20 @@ def _strict_spans(kind: str, number: int) -> Column:
     return F.transform(matches, lambda m: F.struct(F.lit(number).alias("k"), m["s"].alias("s"), m["e"].alias("e")))
 
 
+ADDRESS = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+$"
+LONG_IP = r"^(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}$"
+
+
+def _sure(kind: str, x: Column) -> Column:
+    """What the validator says of a candidate without its separators and spellings."""
+    if kind == "email":
+        plain = F.regexp_replace(F.regexp_replace(x, r"\x20?(?:@|\(at\)|\[at\])\x20?", "@"), r"\x20?(?:\(dot\)|\[dot\])\x20?", ".")
+        return F.regexp_replace(plain, r"[.]+$", "").rlike(ADDRESS)
+    if kind == "ip":
+        return x.rlike(LONG_IP)
+    return _valid(kind, x) & (x.startswith("+") if kind == "phone" else F.lit(True))
+
+
 def locate(docs: DataFrame, patterns: dict[str, str], text_col: str) -> DataFrame:
     """Adds for each pattern a column _m_<name>: array of (s, e, x, before, after).
 
@@ -110,39 +131,32 @@ def locate(docs: DataFrame, patterns: dict[str, str], text_col: str) -> DataFram
     return step.select(*keep, *[spans(n) for n in patterns])
 
 
-def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with ``_base`` (k, s, e) in order of kind and start, and ``_found`` (k, s, e, bits, confirmed)."""
-    keep = docs.columns
-    found = locate(docs.select("*", text_or_empty(text_col).alias("_t")), STRICT | LOOSE, "_t")
+def with_candidates(text: DataFrame) -> DataFrame:
+    """Of docs with hidden names and ``_t``: also ``_base`` (k, s, e) in order of kind and start, and ``_found`` (k, s, e, bits, sure, free)."""
+    keep = [c for c in text.columns if c != "_t"]
+    found = locate(text, STRICT | LOOSE, "_t")
     base = F.concat(*[_strict_spans(k, i) for i, k in enumerate(KINDS)])
     found = found.select(*keep, base.alias("_base"), *[f"_m_{n}" for n in (*LOOSE, "phone", "card")])
 
-    def candidate(m: Column, kind: Column) -> Column:
-        x, digits = m["x"], F.length(F.translate(m["x"], "+ ().-", ""))
+    def candidate(m: Column, number: int) -> Column:
+        x, kind = m["x"], KINDS[number]
+        digits = F.length(_only_digits(x))
         glued = r"^[\p{L}\p{N}]$"
         yes = [
-            x.contains("@"), kind == 2, digits.between(7, 12), x.contains("+"), x.contains("("), x.contains("-"), x.contains(" "), x.contains("."),
-            m["before"].rlike(HINT), F.right(m["before"], F.lit(1)).rlike(glued), m["after"].rlike(glued), F.left(x, F.lit(1)).isin("3", "4", "5", "6"),
-        ]
+            F.lit(number % 2 == 1), F.lit(number >= 2), digits.between(10, 13), digits >= 16, x.contains("("), x.contains("-"), x.contains(" "), x.contains("."),
+            m["before"].rlike(HINT), F.right(m["before"], F.lit(1)).rlike(glued), m["after"].rlike(glued), F.left(_only_digits(x), F.lit(1)).isin("3", "4", "5", "6"),
+        ]
         bits = F.lit(0)
         for i, c in enumerate(yes):
             bits = bits + F.when(c, 1 << i).otherwise(0)
-        confirmed = F.exists("_base", lambda b: (b["s"] < m["e"]) & (m["s"] < b["e"]))
-        return F.struct(kind.alias("k"), m["s"].alias("s"), m["e"].alias("e"), bits.alias("bits"), confirmed.alias("confirmed"))
-
-    def numbers(m: Column) -> Column:
-        return candidate(m, F.when(F.length(_only_digits(m["x"])) >= 13, 2).otherwise(3))
-
-    def usable(n: str) -> Column:
-        return F.filter(f"_m_{n}", lambda m: F.length(_only_digits(m["x"])).between(7, 19))
-
-    arrays = [
-        F.transform("_m_at", lambda m: candidate(m, F.lit(0))),
-        F.transform("_m_colons", lambda m: candidate(m, F.lit(1))),
-        F.transform("_m_phone", lambda m: candidate(m, F.lit(3))),
-        F.transform(usable("digits"), numbers),
-        F.transform(usable("card"), numbers),
-    ]
+        free = ~F.exists("_base", lambda b: (b["s"] < m["e"]) & (m["s"] < b["e"]))
+        return F.struct(F.lit(number).alias("k"), m["s"].alias("s"), m["e"].alias("e"), bits.alias("bits"), _sure(kind, x).alias("sure"), free.alias("free"), digits.alias("digits"))
+
+    def of(name: str, number: int, least: int = 0, most: int = 0) -> Column:
+        some = F.filter(f"_m_{name}", lambda m: F.length(_only_digits(m["x"])).between(least, most)) if most else F.col(f"_m_{name}")
+        return F.transform(some, lambda m: candidate(m, number))
+
+    arrays = [of("at", 0), of("colons", 1), of("phone", 3), of("digits", 3, 7, 12), of("digits", 2, 13, 19), of("card", 3, 7, 12), of("card", 2, 13, 19)]
     return found.select(*keep, "_base", F.array_distinct(F.concat(*arrays)).alias("_found"))
 
 
@@ -163,7 +177,8 @@ class Tree:
 class Model:
     start: float = 0.0
     trees: tuple[Tree, ...] = ()
-    threshold: float = math.inf
+    #: For each kind.
+    thresholds: tuple[float, ...] = (math.inf,) * len(KINDS)
 
     def score(self, bits: int) -> float:
         return self.start + sum(t.value(bits) for t in self.trees)
@@ -186,7 +201,7 @@ FEATURES = 12
 
 
 def boost(counts: dict[int, tuple[int, int]], rounds: int = ROUNDS, rate: float = RATE) -> Model:
-    """Trees from {bits: (unconfirmed, confirmed)} by second-order boosting of the log loss."""
+    """Trees from {bits: (not sure, sure)} by second-order boosting of the log loss."""
     total, sure = sum(n + p for n, p in counts.values()), sum(p for _, p in counts.values())
     if not total:
         return Model()
@@ -223,47 +238,64 @@ def boost(counts: dict[int, tuple[int, int]], rounds: int = ROUNDS, rate: float
 
 
 def calibrate(model: Model, counts: dict[int, tuple[int, int]], precision: float = PRECISION) -> Model:
-    """The lowest threshold with the wanted precision among held-out candidates."""
-    best, sure, total = math.inf, 0, 0
-    by_score: dict[float, list[int]] = {}
-    for bits, (n, p) in counts.items():
-        both = by_score.setdefault(model.score(bits), [0, 0])
-        both[0] += n
-        both[1] += p
-    for value in sorted(by_score, reverse=True):
-        n, p = by_score[value]
-        sure, total = sure + p, total + n + p
-        if total >= LEAST and sure >= precision * total:
-            best = value
-    return Model(model.start, model.trees, best - 1e-9)
+    """For each kind the lowest threshold with the wanted precision among held-out candidates."""
+    chosen = []
+    for kind in range(len(KINDS)):
+        best, sure, total = math.inf, 0, 0
+        by_score: dict[float, list[int]] = {}
+        for bits, (n, p) in counts.items():
+            if bits % len(KINDS) == kind:
+                both = by_score.setdefault(model.score(bits), [0, 0])
+                both[0] += n
+                both[1] += p
+        for value in sorted(by_score, reverse=True):
+            n, p = by_score[value]
+            sure, total = sure + p, total + n + p
+            # Each score by itself must be as good: a sure pattern must not carry a doubtful one along.
+            if p < precision * (n + p):
+                break
+            if total >= LEAST:
+                best = value
+        chosen.append(best - 1e-9)
+    return Model(model.start, model.trees, tuple(chosen))
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Counts over all candidates of docs; at most 2^12 patterns for each half reach the driver."""
-    narrow = with_candidates(docs.select(id_col, text_col), text_col)
     half = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 2
+    narrow = with_candidates(docs.select(half.alias("half"), text_or_empty(text_col).alias("_t")))
     # Outer, as an inner explode makes the optimizer infer a filter that repeats the whole search.
-    each = narrow.select(half.alias("half"), F.explode_outer("_found").alias("c")).filter("c is not null").groupBy("half", "c.bits").agg(F.count_if("c.confirmed").alias("p"), F.count(F.lit(1)).alias("n"))
+    each = narrow.select("half", F.explode_outer("_found").alias("c")).filter("c is not null").groupBy("half", "c.bits").agg(F.count_if("c.sure").alias("p"), F.count(F.lit(1)).alias("n"))
     halves: list[dict[int, tuple[int, int]]] = [{}, {}]
     for r in sorted(each.collect()):
         halves[r["half"]][r["bits"]] = (r["n"] - r["p"], r["p"])
     return calibrate(boost(halves[1]), halves[0])
 
 
-def find(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with ``base_spans`` and ``spans``: arrays of (kind, start, end) by kind as listed, then start."""
+def _spans(docs: DataFrame, model: Model, text_col: str) -> tuple[DataFrame, dict[str, str]]:
+    """Hidden columns with ``_base`` and ``_all`` (k, s, e), and the hidden names."""
+    own, names = hidden(docs)
     evaluate = model.compiled()
-    keep = [c for c in docs.columns if c not in ("base_spans", "spans")]
-    found = with_candidates(docs.select(*keep), text_col)
-    if math.isfinite(model.threshold):
-        chosen = F.filter("_found", lambda c: ~c["confirmed"] & (evaluate(c["bits"]) >= model.threshold))
+    found = with_candidates(own.select("*", text_or_empty(names[text_col]).alias("_t")))
+    if any(map(math.isfinite, model.thresholds)):
+        least = F.array(*[F.lit(t if math.isfinite(t) else 1e300) for t in model.thresholds])
+        usable = lambda c: F.when(c["k"] == KINDS.index("phone"), c["digits"].between(8, 15)).otherwise(c["sure"])
+        chosen = F.filter("_found", lambda c: c["free"] & usable(c) & (evaluate(c["bits"]) >= F.get(least, c["k"])))
         added = F.transform(chosen, lambda c: F.struct(c["k"].alias("k"), c["s"].alias("s"), c["e"].alias("e")))
     else:
         added = F.array().cast("array<struct<k:int,s:int,e:int>>")
-    found = found.select(*keep, "_base", F.array_distinct(F.concat(F.col("_base"), added)).alias("_all"))
+    return found.select(*own.columns, F.sort_array("_base").alias("_base"), F.sort_array(F.array_distinct(F.concat(F.col("_base"), added))).alias("_all")), names
+
+
+def _named(spans: str) -> Column:
     kinds = F.array(*[F.lit(k) for k in KINDS])
-    named = lambda spans: F.transform(F.sort_array(spans), lambda x: F.struct(F.get(kinds, x["k"]).alias("kind"), x["s"].alias("start"), x["e"].alias("end")))
-    return found.select(*keep, named(F.col("_base")).alias("base_spans"), named(F.col("_all")).alias("spans"))
+    return F.transform(spans, lambda x: F.struct(F.get(kinds, x["k"]).alias("kind"), x["s"].alias("start"), x["e"].alias("end")))
+
+
+def find(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """docs with ``base_spans`` and ``spans``: arrays of (kind, start, end) by kind as listed, then start."""
+    found, names = _spans(docs, model, text_col)
+    return found.select(*shown(names, ("base_spans", "spans")), _named("_base").alias("base_spans"), _named("_all").alias("spans"))
 
 
 def joined(spans: Column) -> Column:
@@ -276,8 +308,10 @@ def redact(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     A null text stays null; ``n_chars``, where there is one, follows the new text.
     """
-    keep = docs.columns
-    found = find(docs, model, text_col).select(*keep, F.sort_array(F.transform("spans", lambda x: F.struct(x["start"].alias("s"), x["end"].alias("e"), x["kind"].alias("k")))).alias("_s"))
+    found, names = _spans(docs, model, text_col)
+    keep = list(names.values())
+    found = found.select(*keep, F.sort_array(F.transform(_named("_all"), lambda x: F.struct(x["start"].alias("s"), x["end"].alias("e"), x["kind"].alias("k")))).alias("_s"))
+    text = F.col(names[text_col])
     last = lambda a: F.element_at(a, -1)
     one = "array<struct<s:int,e:int,k:string>>"
     merged = F.aggregate(
@@ -289,11 +323,11 @@ def redact(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         ).otherwise(F.concat(a, F.array(x))),
     )
     found = found.select(*keep, F.when(F.size("_s") > 0, merged).alias("_u"))
-    u, text = F.col("_u"), F.col(text_col)
+    u = F.col("_u")
     pieces = F.transform(u, lambda x, i: F.concat(F.substr(text, F.coalesce(F.get(u, i - 1)["e"], F.lit(0)) + 1, x["s"] - F.coalesce(F.get(u, i - 1)["e"], F.lit(0))), F.lit("["), F.upper(x["k"]), F.lit("]")))
     rest = F.substr(text, last(u)["e"] + 1, F.length(text))
     new = F.when(u.isNull(), text).otherwise(F.concat(F.array_join(pieces, ""), rest))
-    out = found.select(*[c for c in keep if c != text_col], new.alias(text_col))
-    if "n_chars" in keep:
-        out = out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
-    return out.select(*keep)
+    out = found.select(*[new.alias(c) if c == names[text_col] else F.col(c) for c in keep])
+    if "n_chars" in names:
+        out = out.withColumn(names["n_chars"], F.length(text).cast(docs.schema["n_chars"].dataType))
+    return out.select(*shown(names))
