@@ -362,6 +362,72 @@ def test_toxicity_learns_from_bags_and_finds_the_sentence(spark):
     assert {r.score for r in toxicity.score(docs, empty).collect()} == {0.0}
 
 
+def plain_score(model, text):
+    """The docstring's noisy-or, one sentence at a time."""
+    bags = [set(re.findall(r"[^\W_]+", s)) for s in re.split(r"[.!?\n]", text.lower())]
+    bags = [b for b in bags if b]
+    clean = 1.0
+    for bag in bags:
+        z = model.bias - np.log(len(bags)) + sum(model.weights.get(f, 0.0) for w in bag for f in [w, *("^" + w[:k] for k in (5, 6, 7) if len(w) > k)])
+        clean *= 1 - 1 / (1 + np.exp(-z))
+    return 1 - clean if bags else 0.0
+
+
+def test_toxicity_scores_are_the_plain_noisy_or(spark):
+    draw = random.Random(20)
+    weights = {w: draw.uniform(-3, 5) for w in ["vile", "awful", "^terri", "^terrib", "good", "é"]}
+    model = toxicity.Model(-1.5, weights)
+    pool = [*weights, "terrible", "terribly", "plain", "É", ".", "!", "\n", "?!", "_", "1"]
+    texts = [" ".join(draw.choice(pool) for _ in range(draw.randrange(40))) for _ in range(150)] + [None, "", "...", "vile " * 30000, "same", "same"]
+    df = frame(spark, texts).withColumn("_id", F.lit("clash")).withColumn("offending", F.lit("clash"))
+    for r in toxicity.score(df, model).collect():
+        assert r.score == pytest.approx(plain_score(model, texts[r.doc_id] or ""), abs=1e-9)
+    kept = {r.doc_id for r in toxicity.reject(df, model).collect()}
+    assert kept == {i for i, t in enumerate(texts) if plain_score(model, t or "") < 0.5}
+    assert toxicity.reject(df, model).columns == df.columns and toxicity.reject(df.limit(0), model).count() == 0
+
+
+def test_toxicity_gradient_is_that_of_the_plain_loss():
+    draw = random.Random(22)
+    words = [f"word{i}" for i in range(12)]
+    bags = [(int(i % 3 == 0), [draw.sample(words, draw.randrange(1, 5)) for _ in range(draw.randrange(0, 4))]) for i in range(40)]
+    data, index = toxicity.flat(bags)
+    theta = np.array([draw.uniform(-1, 1) for _ in index] + [-1.0])
+
+    def plain(theta):
+        model = toxicity.Model(theta[-1], {w: theta[i] for w, i in index.items()})
+        used = [(y, ". ".join(" ".join(s) for s in bag)) for y, bag in bags if bag]
+        toxic = sum(y for y, _ in used)
+        logs = [-np.log(plain_score(model, t)) * 0.5 / toxic if y else -np.log(1 - plain_score(model, t)) * 0.5 / (len(used) - toxic) for y, t in used]
+        return sum(logs) + toxicity.PENALTY / 2 * (theta[:-1] ** 2).sum()
+
+    value, grad = data.loss(theta)
+    assert value == pytest.approx(plain(theta))
+    for i in [*range(0, len(theta), 5), len(theta) - 1]:
+        step = np.zeros_like(theta)
+        step[i] = 1e-5
+        assert grad[i] == pytest.approx((plain(theta + step) - plain(theta - step)) / 2e-5, abs=1e-6)
+
+
+def test_toxicity_training_takes_a_bounded_sample(spark):
+    rows = [(i, f"{'vile' if i % 2 else 'kind'} words number {i}. more", i % 2) for i in range(60)] + [(3, "vile again", 1), (None, "vile", 1), (99, None, 1), (100, "", 0)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, per_class=20, characters=1000)
+    assert model.weights["vile"] > 0 > model.weights.get("kind", -1)
+    assert toxicity.train(docs, labels, characters=10).weights == {}
+    assert toxicity.train(docs.limit(0), labels).weights == {}
+
+
+def test_toxicity_holds_out_well(spark):
+    from corpusloom.llm.queries import op5_toxicity
+
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "toxic")
+    got = op5_toxicity(spark, "/root/testdata/sf0.01").filter("held_out").join(labels, "doc_id").collect()
+    toxic, clean = [r.score for r in got if r.toxic], [r.score for r in got if not r.toxic]
+    assert np.mean([a > b for a in toxic for b in clean]) > 0.8 and np.mean([s >= 0.5 for s in clean]) < 0.05
+
+
 STRICT = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
     ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m.split("."))),
