@@ -1,32 +1,34 @@
 """Language identification, words first, with backoff to shorter character n-grams.
 
-Training counts every word of every text with a language, by language.  The ``words`` most
-frequent words, and the ``grams`` most frequent character n-grams of up to ``LONGEST`` letters
-("^" and "$" mark a word's ends), keep their log frequency in each language: the model has a fixed
-size, the counts behind it cover all texts.
+Training counts every word of every text with a language, by language.  The model has a fixed size, of
+which every language has an equal share, so a frequent one cannot crowd out a rare one: the most
+frequent words of each, and its most frequent character n-grams of up to ``LONGEST`` letters ("^" and
+"$" mark a word's ends), up to ``words`` and ``grams`` in all.  Of those that tie for the last places of a
+share none is kept.  They keep their log frequency in each language; the counts behind it cover all texts.
 
 A known word scores its log frequency in each language.  An unseen word is read at each of its
 letters by the longest known n-gram that starts there, falling back to shorter ones, and
 scores their mean.  The language of the text is the one with the largest sum over all words.
 
 A text that is null or has no letter is ``und`` with score 0, as is every text if there is nothing
-to learn from.  Ties go to the language that sorts first.  Null texts and null languages teach
-nothing; repeated rows count each time.
+to learn from.  A word without a known n-gram adds nothing.  Ties go to the language that sorts
+first.  Null texts and null languages teach nothing; repeated rows count each time, and are
+answered each by itself, as are null ids.  A very long text is read whole.  Columns other than those named are
+ignored; an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_as_text, id_restored, materialize, small_batches, text_or_empty
+from .common import id_as_text, id_restored, materialize, small_batches
 
 WORDS = 60_000
 GRAMS = 60_000
@@ -34,7 +36,6 @@ LONGEST = 5
 SMOOTHING = 0.5
 #: Unseen words whose scores a worker remembers.
 CACHED = 1 << 17
-LETTERS = re.compile(r"[^\W\d_]+")
 
 
 @dataclass
@@ -56,8 +57,9 @@ class Model:
                     break
         return found
 
-    def scores(self, text: str, unseen: dict[str, list[int]]) -> np.ndarray | None:
-        found = Counter(LETTERS.findall(text.lower()))
+    def scores(self, words: str, unseen: dict[str, list[int]]) -> np.ndarray | None:
+        """Of lower-case words, separated by spaces, by language; None without a word."""
+        found = Counter(words.split())
         if not found or not self.languages:
             return None
         ids, times, grams, shares = [], [], [], []
@@ -82,38 +84,62 @@ class Model:
             total += np.asarray(shares) @ self.gram_scores[grams]
         return total
 
-    def predict(self, text: str, unseen: dict[str, list[int]]) -> tuple[str, float]:
-        total = self.scores(text, unseen)
+    def predict(self, words: str, unseen: dict[str, list[int]]) -> tuple[str, float]:
+        total = self.scores(words, unseen)
         if total is None:
             return "und", 0.0
         best = int(total.argmax())
         return self.languages[best], float(1 / np.exp(np.clip(total - total[best], -700, 0)).sum())
 
 
+def words_of(text_col: str) -> Column:
+    """Runs of letters in lower case, separated by spaces; training and scoring both read these."""
+    return F.btrim(F.regexp_replace(F.lower(F.col(text_col)), "[^\\p{L}]+", " "))
+
+
+def _most_frequent(counts: DataFrame, key: str, share: int) -> DataFrame:
+    """Keys that are among the ``share`` most frequent of some language.
+
+    How many keys have which count is summed up first; a running sum over these few rows
+    gives the least count that each language keeps.
+    """
+    levels = counts.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("c"))
+    down = Window.partitionBy("lang").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
+    least = levels.withColumn("all", F.sum("c").over(down)).filter(F.col("all") <= share).groupBy("lang").agg(F.min("n").alias("least"))
+    return counts.join(F.broadcast(least), "lang").filter("n >= least").select(key).distinct()
+
+
 def _table(counts: DataFrame, key: str, size: int, languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
     """The most frequent keys, and their centred log frequency in each language."""
-    held = counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()
-    totals = np.array([dict((r["lang"], r["n"]) for r in held).get(x, 0) for x in languages], float)
-    by_key = counts.groupBy(key).agg(F.sum("n").alias("t"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("m"))
-    top = by_key.orderBy(F.col("t").desc(), key).limit(size).collect()
-    n = np.array([[r["m"].get(x, 0) for x in languages] for r in top], float).reshape(len(top), len(languages))
-    logs = np.log(n + SMOOTHING) - np.log(totals + SMOOTHING * max(1, len(top)))
-    logs -= logs.mean(1, keepdims=True) if len(top) else 0.0
-    return {r[key]: k for k, r in enumerate(top)}, logs
+    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    of_lang = np.array([totals.get(x, 0) for x in languages], float)
+    share = max(1, size // max(1, len(languages)))
+    kept = counts.join(F.broadcast(_most_frequent(counts, key, share)), key).select(key, "lang", "n").toArrow()  # size x languages rows at most
+    place = {x: i for i, x in enumerate(languages)}
+    keys = {k: i for i, k in enumerate(sorted(set(kept.column(key).to_pylist())))}
+    n = np.zeros((len(keys), len(languages)))
+    for k, x, c in zip(kept.column(key).to_pylist(), kept.column("lang").to_pylist(), kept.column("n").to_pylist(), strict=True):
+        n[keys[k], place[x]] = c
+    logs = np.log(n + SMOOTHING) - np.log(of_lang + SMOOTHING * max(1, len(keys)))
+    return keys, logs - logs.mean(1, keepdims=True) if len(keys) else logs
 
 
 def train(docs: DataFrame, words: int = WORDS, grams: int = GRAMS, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Counts over all rows of docs that have a text and a language."""
-    text = F.regexp_replace(F.lower(F.col(text_col)), "[^\\p{L}]+", " ")
+    text = words_of(text_col)
     told = docs.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     spoken = told.select(F.col(lang_col).alias("lang"), F.explode_outer(F.split(text, " ")).alias("w")).filter("w <> ''")
     counts = materialize(spoken.groupBy("w", "lang").agg(F.count(F.lit(1)).alias("n")))
     languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     marked = F.concat(F.lit("^"), F.col("w"), F.lit("$"))
-    sizes = [F.transform(F.sequence(F.lit(1), F.length(marked) - k + 1), lambda i, k=k: F.substr(marked, i, F.lit(k))) for k in range(1, LONGEST + 1)]
-    long_enough = [F.when(F.length(marked) >= k, s).otherwise(F.array().cast("array<string>")) for k, s in enumerate(sizes, 1)]
+
+    def of_size(k: int) -> Column:
+        """N-grams of k letters; a shorter word has none."""
+        starts = F.sequence(F.lit(1), F.length(marked) - (k - 1))
+        return F.when(F.length(marked) >= k, F.transform(starts, lambda i: F.substr(marked, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+
     # Outer, as an inner explode makes the optimizer infer a filter that builds every n-gram again.
-    gram_counts = materialize(counts.select("lang", "n", F.explode_outer(F.concat(*long_enough)).alias("g")).groupBy("g", "lang").agg(F.sum("n").alias("n")))
+    gram_counts = materialize(counts.select("lang", "n", F.explode_outer(F.concat(*map(of_size, range(1, LONGEST + 1)))).alias("g")).groupBy("g", "lang").agg(F.sum("n").alias("n")))
     return Model(languages, *_table(counts, "w", words, languages), *_table(gram_counts, "g", grams, languages))
 
 
@@ -129,5 +155,5 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
             got = [own.predict(t, unseen) for t in frame["_text"]]
             yield pd.DataFrame({"_id": frame["_id"], "lang_pred": [x for x, _ in got], "score": [s for _, s in got]})
 
-    out = docs.select(id_as_text(id_col), text_or_empty(text_col).alias("_text")).mapInPandas(run, "_id string, lang_pred string, score double")
+    out = docs.select(id_as_text(id_col), F.coalesce(words_of(text_col), F.lit("")).alias("_text")).mapInPandas(run, "_id string, lang_pred string, score double")
     return id_restored(out, docs, id_col)

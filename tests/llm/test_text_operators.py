@@ -332,6 +332,76 @@ def test_language_backs_off_for_unseen_words(spark):
     assert {r.lang_pred for r in language.identify(frame(spark, texts), nothing).collect()} == {"und"}
 
 
+def plain_language(teach, texts, words, grams):
+    """Training and scores by the docstring, with plain counters."""
+    from collections import Counter
+
+    split = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    languages = sorted({x for t, x in teach if t is not None and x is not None and split(t)})
+    by_word = {x: Counter(w for t, y in teach if y == x and t is not None for w in split(t)) for x in languages}
+    by_gram = {x: Counter() for x in languages}
+    for x in languages:
+        for w, n in by_word[x].items():
+            m = f"^{w}$"
+            for k in range(1, 6):
+                for i in range(len(m) - k + 1):
+                    by_gram[x][m[i : i + k]] += n
+
+    def table(counts, size):
+        share = size // len(languages)
+        kept = set()
+        for x in languages:
+            for w, n in counts[x].items():
+                if sum(c >= n for c in counts[x].values()) <= share:
+                    kept.add(w)
+        logs = {w: np.log([counts[x][w] + 0.5 for x in languages]) - np.log([sum(counts[x].values()) + 0.5 * len(kept) for x in languages]) for w in kept}
+        return {w: v - v.mean() for w, v in logs.items()}
+
+    known, pieces = table(by_word, words), table(by_gram, grams)
+    out = []
+    for t in texts:
+        found = split(t or "")
+        total = np.zeros(len(languages))
+        for w in found:
+            if w in known:
+                total += known[w]
+                continue
+            m, own = f"^{w}$", []
+            for i in range(len(m)):
+                fits = [m[i : i + k] for k in range(5, 0, -1) if len(m) >= i + k and m[i : i + k] in pieces]
+                own += [pieces[fits[0]]] if fits else []
+            if own:
+                total += np.mean(own, axis=0)
+        best = int(total.argmax())
+        out.append((languages[best], 1 / np.exp(total - total[best]).sum()) if found else ("und", 0.0))
+    return out
+
+
+@pytest.mark.parametrize("words,grams", [(10_000, 10_000), (30, 60), (3, 3)])
+def test_language_equals_plain_counters(spark, words, grams):
+    draw = random.Random(23)
+    pools = {x: ["".join(draw.choice(letters) for _ in range(draw.randrange(1, 9))) for _ in range(30)] for x, letters in (("aa", "abcdé"), ("bb", "bcdef"), ("cc", "xyzß"))}
+    pools["aa"] += pools["bb"][:10]
+    some = lambda x, n: " ".join(draw.choice(pools[x]) for _ in range(n))
+    teach = [(some(x, 12) + "! 7", x) for x in pools for _ in range(30 if x != "cc" else 2)] + [(None, "aa"), ("lost", None), ("", "bb"), ("123", "dd")]
+    texts = [some(draw.choice(list(pools)), draw.randrange(1, 9)) + draw.choice(["", " unseenword", " dcbae", " 77"]) for _ in range(60)] + ["qqqq", None, "", "42", "same", "same", "É" * 40000]
+    model = language.train(spark.createDataFrame(teach, "text string, lang string"), words, grams)
+    got = {r.doc_id: r for r in language.identify(frame(spark, texts).withColumn("_text", F.lit("clash")), model).collect()}
+    for i, (name, score) in enumerate(plain_language(teach, texts, words, grams)):
+        assert got[i].lang_pred == name and got[i].score == pytest.approx(score)
+    assert language.identify(frame(spark, texts).limit(0), model).count() == 0
+
+
+def test_a_rare_language_keeps_its_words(spark):
+    draw = random.Random(24)
+    common = ["".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(3000)]
+    rare = ["".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(40)]
+    teach = [(" ".join(draw.choice(common) for _ in range(30)), "en") for _ in range(600)] + [(" ".join(draw.choice(rare) for _ in range(30)), "xx") for _ in range(6)]
+    model = language.train(spark.createDataFrame(teach, "text string, lang string"), words=200, grams=200)
+    texts = [" ".join(draw.sample(rare, 8)) for _ in range(30)]
+    assert {r.lang_pred for r in language.identify(frame(spark, texts), model).collect()} == {"xx"}
+
+
 def test_language_holds_out_well(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     from corpusloom.llm.queries import op9_language
