@@ -6,13 +6,15 @@ the cluster and pre-tokenised in parallel, each from its own start.  Two neighbo
 at the first pre-token boundary that both have inside the overlap: the pattern looks only
 forward, so from a common boundary on both would cut alike.  A match that touches the end of a
 chunk is not trusted, as the text that follows could have changed it.  Where the overlap has no
-common boundary (a run of thousands of letters), the text from the last trusted boundary through
-the next chunk is pre-tokenised again.  The stitched pre-tokens are then encoded by rank.
+common boundary (a run of thousands of letters), chunks are added to the text from the last trusted boundary
+on, and whenever that has doubled it is pre-tokenised again: work stays in proportion to the text.  The stitched
+runs of pre-tokens are dealt over the cluster again, encoded by rank in parallel, and their ids joined.
 
 Decoding joins the raw bytes of the ids.
 
 Null texts count as empty and give no ids.  Repeated rows and repeated ids each give their own
-row.  Columns other than the id and the text are ignored.
+row.  Columns other than the id and the text are ignored, whatever their names.  An empty table gives
+an empty one.
 """
 
 from __future__ import annotations
@@ -70,31 +72,32 @@ def chunks_of(text: str, chunk_chars: int, overlap_chars: int) -> Iterator[tuple
 
 
 def stitch(pattern: str, chunks: Iterable[tuple[int, str, list[int]]]) -> Iterator[list[str]]:
-    """Pre-tokens of the whole text, from (start, text, boundaries inside the chunk) in order."""
-    held: tuple[int, str, list[int]] | None = None
-    for start, text, bounds in chunks:
-        if held is None:
-            held = (start, text, bounds)
+    """Runs of pre-tokens of the whole text, from (start, text, boundaries inside the chunk) in order."""
+    at, text, cuts = 0, "", [0]  # what is not given out yet, and its boundaries as far as it was scanned
+    scanned = 0
+    for start, new, bounds in chunks:
+        if not text:
+            at, text, cuts, scanned = start, new, bounds, len(new)
             continue
-        at, before, cuts = held
-        trusted = cuts[:-1] if len(before) else cuts
         theirs = {start + b for b in bounds[:-1]}
-        common = next((c for c in trusted if at + c >= start and at + c in theirs), None)
-        if common is None:
-            # No resynchronisation: go on from the last trusted boundary through the next chunk.
-            last = trusted[-1] if trusted else 0
-            done = [c for c in cuts if c <= last]
-            yield [before[a:b] for a, b in zip(done, done[1:], strict=False)]
-            joined = before[last:] + text[at + len(before) - start :]
-            held = (at + last, joined, boundaries(pattern, joined))
+        # The last boundary is the end of what was scanned: the text behind it may change it.
+        common = next((c for c in cuts[:-1] if at + c >= start and at + c in theirs), None) if scanned == len(text) else None
+        if common is not None:
+            done = [c for c in cuts if c <= common]
+            yield [text[a:b] for a, b in zip(done, done[1:], strict=False)]
+            skip = at + common - start
+            at, text, cuts = at + common, new[skip:], [b - skip for b in bounds if b >= skip]
+            scanned = len(text)
             continue
-        done = [c for c in cuts if c <= common]
-        yield [before[a:b] for a, b in zip(done, done[1:], strict=False)]
-        skip = at + common - start
-        held = (at + common, text[skip:], [b - skip for b in bounds if b >= skip])
-    if held is not None:
-        _, text, cuts = held
-        yield [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        text += new[at + len(text) - start :]
+        if len(text) >= 2 * scanned:
+            cuts, scanned = boundaries(pattern, text), len(text)
+            done = cuts[:-1]  # the last pre-token may go on
+            yield [text[a:b] for a, b in zip(done, done[1:], strict=False)]
+            at, text, cuts = at + done[-1], text[done[-1] :], [0, len(text) - done[-1]]
+            scanned = len(text)
+    cuts = cuts if scanned == len(text) else boundaries(pattern, text)
+    yield [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def encode_documents(
@@ -130,20 +133,33 @@ def encode_documents(
             yield frame
 
     def join(frame: pd.DataFrame) -> pd.DataFrame:
-        enc = encoding(ranks_path, pattern)
-        piece = functools.lru_cache(1 << 16)(enc._encode_single_piece)
         frame = frame.sort_values("_start")
         parts = ((s, t, np.frombuffer(c, "<u4").tolist()) for s, t, c in zip(frame["_start"], frame["_chunk"], frame["_cuts"], strict=True))
-        ids: list[int] = []
-        for pieces in stitch(pattern, parts):
-            for p in pieces:
-                ids.extend(piece(p))
-        return pd.DataFrame({"_id": frame["_id"].iloc[:1], "n_tokens": [len(ids)], "ids": [np.asarray(ids, "<u4").tobytes()]})
+        runs = [run for run in stitch(pattern, parts) if run]
+        lengths = [np.array([len(p) for p in run], "<u4").tobytes() for run in runs]
+        return pd.DataFrame({"_id": [frame["_id"].iloc[0]] * len(runs), "_row": frame["_row"].iloc[0], "_part": range(len(runs)), "_run": ["".join(run) for run in runs], "_lengths": lengths})
+
+    def encode_runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        enc = encoding(ranks_path, pattern)
+        piece = functools.lru_cache(1 << 16)(enc._encode_single_piece)
+        for frame in frames:
+            found = []
+            for text, lengths in zip(frame["_run"], frame["_lengths"], strict=True):
+                ends = np.cumsum(np.frombuffer(lengths, "<u4"), dtype=np.int64).tolist()
+                ids = [i for a, b in zip([0, *ends], ends, strict=False) for i in piece(text[a:b])]
+                found.append(np.asarray(ids, "<u4").tobytes())
+            yield pd.DataFrame({"_id": frame["_id"], "_row": frame["_row"], "_part": frame["_part"], "ids": found})
+
+    def whole_ids(frame: pd.DataFrame) -> pd.DataFrame:
+        ids = b"".join(frame.sort_values("_part")["ids"])
+        return pd.DataFrame({"_id": frame["_id"].iloc[:1], "n_tokens": [len(ids) // 4], "ids": [ids]})
 
     out = "_id string, n_tokens long, ids binary"
     chunked = long.mapInPandas(cut, "_id string, _row long, _start long, _chunk string")
     dealt = chunked.repartition("_row", "_start").mapInPandas(pretokenise, "_id string, _row long, _start long, _chunk string, _cuts binary")
-    joined = dealt.groupBy("_row").applyInPandas(join, out)
+    runs = dealt.groupBy("_row").applyInPandas(join, "_id string, _row long, _part long, _run string, _lengths binary")
+    encoded = runs.repartition("_row", "_part").mapInPandas(encode_runs, "_id string, _row long, _part long, ids binary")
+    joined = encoded.groupBy("_row").applyInPandas(whole_ids, out)
     return id_restored(short.mapInPandas(encode_short, out).unionByName(joined), docs, id_col)
 
 

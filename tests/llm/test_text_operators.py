@@ -37,6 +37,28 @@ def test_bpe_equals_the_library_and_decodes(spark, chunk, overlap):
         assert bytes(r.decoded) == text.encode()
 
 
+def test_stitching_is_linear_and_gives_the_pre_tokens_of_the_text(monkeypatch):
+    draw = random.Random(25)
+    scanned = []
+    plain = bpe.boundaries
+    monkeypatch.setattr(bpe, "boundaries", lambda pattern, text: scanned.append(len(text)) or plain(pattern, text))
+    texts = ["x" * 6000, "x" * 3000 + " y" * 500 + "z" * 2000, " " * 2500 + "a", "".join(draw.choice(["ab", " ", "\n", "1", "!", "é" * 70]) for _ in range(2000))]
+    for text in texts:
+        chunks = [(at, part, plain(P.PATTERN, part)) for at, part in bpe.chunks_of(text, 64, 16)]
+        scanned.clear()
+        got = [p for run in bpe.stitch(P.PATTERN, chunks) for p in run]
+        assert got == [m for m in bpe.matcher(P.PATTERN).findall(text)]
+        assert sum(scanned) <= 4 * len(text)
+
+
+def test_bpe_encodes_a_text_of_several_real_chunks(spark):
+    text = ("Some words, 12 numbers and é. " * 4000) + "q" * 5000
+    df = spark.createDataFrame([(1, text), (1, text), (None, text[::-1])], "doc_id long, text string")
+    enc = bpe.encoding(RANKS, P.PATTERN)
+    got = bpe.encode_documents(df, RANKS, P.PATTERN).collect()
+    assert sorted((r.doc_id or 0, bytes(r.ids)) for r in got) == sorted((i, np.asarray(enc.encode_ordinary(t), "<u4").tobytes()) for i, t in [(1, text), (1, text), (0, text[::-1])])
+
+
 def test_bpe_keeps_null_ids_and_empty_tables(spark):
     df = spark.createDataFrame([(None, "a b"), (None, "c" * 100), (1 << 60, "d")], "doc_id long, text string")
     got = bpe.encode_documents(df, RANKS, P.PATTERN, chunk_chars=32, overlap_chars=8)
