@@ -58,6 +58,26 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: A key is hot if it has more than one in so many of the rows; then there are at most as many hot keys.
+HOT_SHARE = 4096
+#: Fewer rows of a key are never hot.
+HOT_LEAST = 64
+
+
+def keyed_join(rows: DataFrame, table: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+    """Inner join of rows with one row a key; ``count`` says how many of the ``total`` rows have the key.
+
+    Both must be materialised.  Hot keys, at most HOT_SHARE, are broadcast, so their rows stay where
+    they are; the rest is joined by key.
+    """
+    least = max(HOT_LEAST, total // HOT_SHARE)
+    hot = materialize(table.filter(F.col(count) > least))
+    if hot.isEmpty():
+        return rows.join(table, keys)
+    cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(table.filter(F.col(count) <= least), keys)
+    return rows.join(F.broadcast(hot), keys).unionByName(cold)
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

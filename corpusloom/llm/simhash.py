@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_as_text, id_restored, materialize, small_batches, text_or_empty
+from .common import hidden, id_as_text, id_restored, keyed_join, materialize, shown, small_batches, text_or_empty
 from .components import components
 
 SEED = 42
@@ -38,8 +38,10 @@ BUCKET = 16
 SAMPLE, RANKED = 16, 100_000
 #: Each round compares so many times more members of a bucket with the rest.
 ROUND = 8
-#: Up to so many ids are sent to the texts; for more, texts are dealt out by id.
-SENT = 500_000
+#: Up to so many ids or first members are sent to the rows; for more, both are dealt out by key.
+SENT = 200_000
+#: Members of a bucket are ranked in so many parts, of which the best so many meet.
+SALTS, LEADERS = 64, 64
 #: Of products of a similarity and a count.
 SLACK = 1e-9
 #: Shingles whose bits are counted at once.
@@ -104,20 +106,20 @@ def _pairs(grouped: DataFrame, members: str, radius: int) -> DataFrame:
     return left.select("x", F.explode(near).alias("y")).select(F.col("x.fp").alias("fp_a"), F.col("y.fp").alias("fp_b"), F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
 
 
-def links(classes: DataFrame, radius: int = 2, every: bool = False, chain: bool = False) -> DataFrame:
+def links(classes: DataFrame, radius: int = 2, every: bool = False) -> DataFrame:
     """Pairs of classes (fp, rep) within the radius: (fp_a, fp_b, a, b).
 
     With ``every``, all of them.  Else a full bucket gives, for each point, the pairs of the
     smallest fingerprint around it with the others: they reach the same components, and their
-    number stays in proportion to the classes.  ``chain`` adds neighbours in the order of fingerprints.
+    number stays in proportion to the classes.
     """
     if radius < 0 or radius % 2:
         raise ValueError("the radius must be even")
     masks = covering_masks(radius)
     tables = F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("k")) for t, m in enumerate(masks)])
-    placed = classes.select("fp", "rep", F.explode(tables).alias("_b")).select("_b.t", "_b.k", "fp", "rep")
-    full = placed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    placed = materialize(placed.join(full, ["t", "k"]))
+    placed = materialize(classes.select("fp", "rep", F.explode(tables).alias("_b")).select("_b.t", "_b.k", "fp", "rep"))
+    full = materialize(placed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"))
+    placed = materialize(keyed_join(placed, full, ["t", "k"], "c", placed.count()))
     one = F.struct("fp", "rep").alias("m")
     small = placed.filter(F.col("c") <= BUCKET).groupBy("t", "k").agg(F.sort_array(F.collect_list(one)).alias("ms"))
     found = _pairs(small, "ms", radius)
@@ -135,10 +137,6 @@ def links(classes: DataFrame, radius: int = 2, every: bool = False, chain: bool
         return found.unionByName(_pairs(balls, "ms", radius)).distinct()
     lowest = points.groupBy("t", "k").agg(F.min(one).alias("y"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     tied = points.join(lowest, ["t", "k"]).filter("rep <> y.rep").select(F.col("y.fp").alias("fp_a"), F.col("fp").alias("fp_b"), F.col("y.rep").alias("a"), F.col("rep").alias("b")).distinct()
-    if chain:
-        before = F.lag(one).over(Window.partitionBy("t", "k").orderBy("fp", "rep"))
-        chained = points.select("fp", "rep", before.alias("y")).filter("y is not null")
-        tied = tied.unionByName(chained.select(F.col("y.fp").alias("fp_a"), F.col("fp").alias("fp_b"), F.col("y.rep").alias("a"), F.col("rep").alias("b")).distinct())
     return found.unionByName(tied).distinct()
 
 
@@ -146,14 +144,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col:
     """(id, fingerprint, component_id): the smallest id reachable over links, itself included.
 
     Every row is returned, repeated rows too.  A null id belongs to its class but names none.
-    An empty table gives an empty one.
+    An empty table gives an empty one; a very long text is read whole.  Columns other than the id and the
+    text are ignored, whatever their names.
     """
-    prints = materialize(fingerprints(docs, shingle, id_col, text_col))
-    classes = prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(id_col).alias("rep"))
-    found = links(classes, radius)
-    roots = components(found, "a", "b")
-    of = classes.join(roots, F.col("rep") == F.col("node"), "left").select(F.col("fp").alias("fingerprint"), F.coalesce("root", "rep").alias("component_id"))
-    return prints.join(of, "fingerprint").select(id_col, "fingerprint", "component_id")
+    prints = materialize(fingerprints(docs, shingle, id_col, text_col).toDF("id", "fingerprint"))
+    classes = materialize(prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("c")))
+    roots = components(links(classes, radius), "a", "b")
+    of = classes.join(roots, F.col("rep") == F.col("node"), "left").select(F.col("fp").alias("fingerprint"), F.coalesce("root", "rep").alias("component_id"), "c")
+    out = keyed_join(prints, materialize(of), ["fingerprint"], "c", prints.count())
+    return out.select(F.col("id").alias(id_col), "fingerprint", "component_id")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,6 +192,21 @@ def common_shingles(docs: DataFrame, words: int, id_col: str = "doc_id", text_co
     return h[order], c[order]
 
 
+def _placed(posts: DataFrame) -> DataFrame:
+    """Adds ``k``, the place of a post in its bucket from 0: those of the greatest weight first.
+
+    The best of each salt are ranked against each other, the others behind them by their rank within
+    their salt, so a full bucket is sorted by many tasks; places are all different, and exact for
+    the first LEADERS.
+    """
+    best = [F.desc("w"), F.xxhash64("id"), "id", "n", "at"]
+    salted = posts.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(SALTS)).cast("int"))
+    salted = materialize(salted.withColumn("r", F.row_number().over(Window.partitionBy("h", "salt").orderBy(*best))))
+    first = salted.filter(F.col("r") <= LEADERS).withColumn("k", F.row_number().over(Window.partitionBy("h").orderBy(*best)) - 1)
+    rest = salted.filter(F.col("r") > LEADERS).withColumn("k", F.col("r") * SALTS + F.col("salt"))
+    return first.unionByName(rest).drop("salt", "r")
+
+
 def joined_roots(posts: DataFrame, least: float, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
     """(node, root) of the components of all pairs with a Jaccard similarity of ``least`` or more.
 
@@ -203,31 +217,32 @@ def joined_roots(posts: DataFrame, least: float, sets_of: Callable[[DataFrame],
     be connected, and a group of near copies costs pairs in proportion to its members.  Members go by
     how many others share their prefix, so that the middle of a group comes first.  None without links.
     """
-    within = Window.partitionBy("h")
-    posts = materialize(posts.distinct().withColumn("c", F.count(F.lit(1)).over(within)).filter("c > 1"))
+    posts = materialize(posts.distinct())
+    often = materialize(posts.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"))
+    posts = materialize(keyed_join(posts, often, ["h"], "c", posts.count()))
     weight = posts.groupBy("id").agg(F.sum("c").alias("w"))
-    order = F.row_number().over(within.orderBy(F.desc("w"), F.xxhash64("id"), "id", "n", "at"))
-    live = posts.join(weight, "id").select("h", "id", "n", "at", (order - 1).alias("k"), F.col("id").alias("root"))
+    live = _placed(posts.join(weight, "id")).select("h", "id", "n", "at", "k", F.col("id").alias("root"))
     tried = links = roots = None
     last = 1
     while True:
         live = materialize(live)
-        mixed = live.groupBy("h").agg(F.min("root").alias("l"), F.max("root").alias("m")).filter("l <> m").select("h")
-        live = materialize(live.join(mixed, "h", "left_semi"))
+        mixed = live.groupBy("h").agg(F.min("root").alias("l"), F.max("root").alias("m"), F.count(F.lit(1)).alias("c")).filter("l <> m").select("h", "c")
+        live = materialize(keyed_join(live, materialize(mixed), ["h"], "c", live.count()).drop("c"))
         if live.isEmpty():
             return roots
-        p, q = live.filter(F.col("k") < last).alias("p"), live.alias("q")
+        leaders = materialize(live.filter(F.col("k") < last))
+        p, q = (F.broadcast(leaders) if leaders.count() <= SENT else leaders).alias("p"), live.alias("q")
         # The first common shingle of a similar pair leaves room for the shared shingles that they need.
         room = F.least(F.col("p.n") - F.col("p.at"), F.col("q.n") - F.col("q.at"))
         fits = (1 + least) * room >= least * (F.col("p.n") + F.col("q.n")) - SLACK
-        pairs = p.join(q, (F.col("p.h") == F.col("q.h")) & (F.col("p.k") < F.col("q.k")) & (F.col("p.root") != F.col("q.root")) & fits)
+        pairs = q.join(p, (F.col("p.h") == F.col("q.h")) & (F.col("p.k") < F.col("q.k")) & (F.col("p.root") != F.col("q.root")) & fits)
         pairs = pairs.select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b")).distinct()
         pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         live = live.filter(F.col("k") >= last)
         last = (last + 1) * ROUND
-        wanted = materialize(pairs.select(F.col("a").alias("n")).unionByName(pairs.select(F.col("b").alias("n"))).distinct())
-        if wanted.isEmpty():
+        if pairs.isEmpty():
             continue
+        wanted = materialize(pairs.select(F.col("a").alias("n")).unionByName(pairs.select(F.col("b").alias("n"))).distinct())
         tried = pairs if tried is None else tried.unionByName(pairs)
         good = materialize(similar(pairs, sets_of(wanted), least))
         if good.isEmpty():
@@ -245,13 +260,16 @@ def deduplicate(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str
     document in one common order, rare ones first, two similar documents have a shingle in common among the
     first n - ceil(least n) + 1 of their n.  The order comes from a sample; it changes the work, not the result.
     Documents with equal sets of shingles are one class, compared by its smallest id.
-    Texts without a word are one class.  All columns are
-    kept.  Rows with a null id stay; rows that repeat an id are one document and stay or go together.
+    Texts without a word are one class.  All columns are kept, whatever their names.  Rows with a null id
+    stay; rows that repeat an id are one document and stay or go together.  A very long text is compared as a
+    whole; an empty table gives an empty one.
     """
     import math
 
-    known = docs.filter(F.col(id_col).isNotNull())
-    common, often = common_shingles(known, words, id_col, text_col)
+    hid, names = hidden(docs)
+    key = names[id_col]
+    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("id is not null")
+    common, often = common_shingles(known, words, "id", "text")
     small_batches(docs.sparkSession)
 
     def row(text: str) -> tuple:
@@ -272,13 +290,13 @@ def deduplicate(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str
             out.insert(0, "_id", frame["_id"].to_numpy())
             yield out
 
-    prints = known.select(id_as_text(id_col), text_or_empty(text_col).alias("_text")).mapInPandas(run, "_id string, _key binary, _n int, _first array<long>")
-    prints = materialize(id_restored(prints, docs, id_col))
-    classes = materialize(prints.groupBy("_key").agg(F.min(id_col).alias("rep")))
-    own = prints.join(classes.select("_key", F.col("rep").alias(id_col)), ["_key", id_col])
-    posts = own.select(F.col(id_col).alias("id"), F.col("_n").alias("n"), F.posexplode("_first").alias("at", "h"))
-    posts = materialize(posts.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("h"))).filter("c > 1").drop("c"))
-    roots = joined_roots(posts, least, lambda wanted: shingle_sets(known, wanted, words, id_col, text_col))
+    prints = known.select(id_as_text("id"), text_or_empty("text").alias("_text")).mapInPandas(run, "_id string, _key binary, _n int, _first array<long>")
+    prints = materialize(id_restored(prints, known, "id"))
+    classes = materialize(prints.groupBy("_key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("c")))
+    own = prints.join(classes.select("_key", F.col("rep").alias("id")), ["_key", "id"])
+    posts = own.select("id", F.col("_n").alias("n"), F.posexplode("_first").alias("at", "h"))
+    roots = joined_roots(posts, least, lambda wanted: shingle_sets(known, wanted, words, "id", "text"))
     of = classes.withColumn("_keep", F.col("rep")) if roots is None else classes.join(roots, F.col("rep") == F.col("node"), "left").withColumn("_keep", F.coalesce("root", "rep"))
-    gone = prints.select(id_col, "_key").join(of.select("_key", "_keep"), "_key").filter(F.col(id_col) != F.col("_keep")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    kept = keyed_join(prints.select("id", "_key"), materialize(of.select("_key", "_keep", "c")), ["_key"], "c", prints.count())
+    gone = kept.filter(F.col("id") != F.col("_keep")).select(F.col("id").alias("_gone")).distinct()
+    return hid.join(gone, F.col(key) == F.col("_gone"), "left_anti").select(*shown(names))
