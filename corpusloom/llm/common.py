@@ -71,7 +71,7 @@ def keyed_join(rows: DataFrame, table: DataFrame, keys: list[str], count: str, t
     they are; the rest is joined by key.
     """
     least = max(HOT_LEAST, total // HOT_SHARE)
-    hot = materialize(table.filter(F.col(count) > least))
+    hot = table.filter(F.col(count) > least)
     if hot.isEmpty():
         return rows.join(table, keys)
     cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(table.filter(F.col(count) <= least), keys)

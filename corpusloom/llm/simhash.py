@@ -39,7 +39,9 @@ SAMPLE, RANKED = 16, 100_000
 #: Each round compares so many times more members of a bucket with the rest.
 ROUND = 8
 #: Up to so many ids or first members are sent to the rows; for more, both are dealt out by key.
-SENT = 200_000
+SENT = 20_000
+#: Up to so many shared shingles are.
+SENT_KEYS = 1_000_000
 #: Members of a bucket are ranked in so many parts, of which the best so many meet.
 SALTS, LEADERS = 64, 64
 #: Of products of a similarity and a count.
@@ -158,15 +160,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col:
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(n, h): the different word shingles of the documents ``wanted`` (n); an id with several texts has several rows."""
     small_batches(docs.sparkSession)
-    few = F.broadcast(wanted) if wanted.count() <= SENT else wanted
-    texts = docs.select(F.col(id_col).alias("n"), text_or_empty(text_col).alias("_text")).join(few, "n")
+    texts = docs.select(F.col(id_col).alias("n"), text_or_empty(text_col).alias("_text")).join(wanted, "n", "left_semi")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             yield pd.DataFrame({"_id": frame["_id"], "h": [np.unique(hashes(t, words)).view("<i8") for t in frame["_text"]]})
 
     sets = id_restored(texts.select(id_as_text("n"), "_text").mapInPandas(run, "_id string, h array<long>"), docs, id_col)
-    return materialize(sets.select(F.col(id_col).alias("n"), "h").distinct())
+    return materialize(sets.select(F.col(id_col).alias("n"), "h"))
 
 
 def similar(found: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -207,31 +208,46 @@ def _placed(posts: DataFrame) -> DataFrame:
     return first.unionByName(rest).drop("salt", "r")
 
 
+def _lowered(links: DataFrame) -> DataFrame:
+    """(node, root) with the smallest node within three links: enough to tell most that are connected."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    roots = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")).select("node", F.least("node", "root").alias("root"))
+    for _ in range(2):
+        theirs = both.join(roots, F.col("b") == F.col("node")).groupBy("a").agg(F.min("root").alias("r"))
+        roots = roots.join(theirs, F.col("node") == F.col("a")).select("node", F.least("root", "r").alias("root"))
+    return materialize(roots)
+
+
 def joined_roots(posts: DataFrame, least: float, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
     """(node, root) of the components of all pairs with a Jaccard similarity of ``least`` or more.
 
     ``posts`` (h, id, n, at) lists each set under the shingles of its prefix: its size, and the place
     of the shingle in the common order; ``sets_of`` gives the whole sets (n, h) of ids (n).  In rounds, the first members of each bucket are compared with
-    all later members that are not connected to them yet, and then leave the bucket.  A bucket
-    is done when its members are one component.  So each pair of a bucket is either compared or known to
+    all later members that are not seen to be connected to them, and then leave the bucket.  A bucket
+    is done when its members are seen to be connected.  So each pair of a bucket is either compared or known to
     be connected, and a group of near copies costs pairs in proportion to its members.  Members go by
     how many others share their prefix, so that the middle of a group comes first.  None without links.
     """
-    posts = materialize(posts.distinct())
     often = materialize(posts.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"))
-    posts = materialize(keyed_join(posts, often, ["h"], "c", posts.count()))
+    rows, shared = often.agg(F.sum("c"), F.count(F.lit(1))).first()
+    # Most shingles are in one set only: their posts go where they are made, if the others' keys can be sent there.
+    posts = posts.join(F.broadcast(often), "h") if shared <= SENT_KEYS else keyed_join(materialize(posts), often, ["h"], "c", rows)
+    posts = materialize(posts.distinct())
     weight = posts.groupBy("id").agg(F.sum("c").alias("w"))
-    live = _placed(posts.join(weight, "id")).select("h", "id", "n", "at", "k", F.col("id").alias("root"))
-    tried = links = roots = None
+    placed = materialize(_placed(posts.join(weight, "id")).select("h", "id", "n", "at", "k"))
+    sets = sets_of(placed.select(F.col("id").alias("n")).distinct())
+    live = placed.withColumn("root", F.col("id"))
+    tried = links = None
     last = 1
     while True:
-        live = materialize(live)
-        mixed = live.groupBy("h").agg(F.min("root").alias("l"), F.max("root").alias("m"), F.count(F.lit(1)).alias("c")).filter("l <> m").select("h", "c")
-        live = materialize(keyed_join(live, materialize(mixed), ["h"], "c", live.count()).drop("c"))
-        if live.isEmpty():
-            return roots
-        leaders = materialize(live.filter(F.col("k") < last))
-        p, q = (F.broadcast(leaders) if leaders.count() <= SENT else leaders).alias("p"), live.alias("q")
+        # Both sides of these joins are tables, so a hot bucket is split where the engine deals skewed joins anew.
+        mixed = materialize(live.groupBy("h").agg(F.min("root").alias("l"), F.max("root").alias("m")).filter("l <> m").select("h"))
+        live = materialize(live.join(mixed, "h", "left_semi"))
+        leaders = live.filter(F.col("k") < last)
+        many = leaders.count()
+        if not many and live.isEmpty():
+            return None if links is None else components(links, "a", "b")
+        p, q = (F.broadcast(leaders) if many <= SENT else leaders).alias("p"), live.alias("q")
         # The first common shingle of a similar pair leaves room for the shared shingles that they need.
         room = F.least(F.col("p.n") - F.col("p.at"), F.col("q.n") - F.col("q.at"))
         fits = (1 + least) * room >= least * (F.col("p.n") + F.col("q.n")) - SLACK
@@ -240,16 +256,13 @@ def joined_roots(posts: DataFrame, least: float, sets_of: Callable[[DataFrame],
         pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         live = live.filter(F.col("k") >= last)
         last = (last + 1) * ROUND
-        if pairs.isEmpty():
-            continue
-        wanted = materialize(pairs.select(F.col("a").alias("n")).unionByName(pairs.select(F.col("b").alias("n"))).distinct())
         tried = pairs if tried is None else tried.unionByName(pairs)
-        good = materialize(similar(pairs, sets_of(wanted), least))
+        wanted = pairs.select(F.col("a").alias("n")).unionByName(pairs.select(F.col("b").alias("n"))).distinct()
+        good = materialize(similar(pairs, sets.join(wanted, "n", "left_semi"), least))
         if good.isEmpty():
             continue
         links = good if links is None else links.unionByName(good)
-        roots = components(links, "a", "b")
-        live = live.drop("root").join(roots, F.col("id") == F.col("node"), "left").select("h", "id", "n", "at", "k", F.coalesce("root", "id").alias("root"))
+        live = live.drop("root").join(_lowered(links), F.col("id") == F.col("node"), "left").select("h", "id", "n", "at", "k", F.coalesce("root", "id").alias("root"))
 
 
 def deduplicate(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -293,7 +306,7 @@ def deduplicate(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str
     prints = known.select(id_as_text("id"), text_or_empty("text").alias("_text")).mapInPandas(run, "_id string, _key binary, _n int, _first array<long>")
     prints = materialize(id_restored(prints, known, "id"))
     classes = materialize(prints.groupBy("_key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("c")))
-    own = prints.join(classes.select("_key", F.col("rep").alias("id")), ["_key", "id"])
+    own = materialize(prints.join(classes.select("_key", F.col("rep").alias("id")), ["_key", "id"]).select("id", "_n", "_first"))
     posts = own.select("id", F.col("_n").alias("n"), F.posexplode("_first").alias("at", "h"))
     roots = joined_roots(posts, least, lambda wanted: shingle_sets(known, wanted, words, "id", "text"))
     of = classes.withColumn("_keep", F.col("rep")) if roots is None else classes.join(roots, F.col("rep") == F.col("node"), "left").withColumn("_keep", F.coalesce("root", "rep"))
