@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,15 +14,18 @@ from corpusloom.functions.text import dedup_key
 
 AUTO, PROBABLE, REVIEW = 0.97, 0.92, 0.85
 TITLE_GATE, LEAD_GATE = 0.90, 0.85
+#: Vectors of a block of the all-pairs cosine.
+BLOCK_ROWS = 4096
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the folder of ``spark.checkpoint.dir``."""
+    """Cut the lineage in the folder of ``spark.checkpoint.dir``; unset, in a temporary one if all runs on one machine."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        import tempfile
-
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint(eager=True)
 
 
@@ -95,12 +102,29 @@ def unit(x: Column) -> Column:
     return F.transform(x, lambda v: F.try_divide(v.cast("double"), norm))
 
 
-def cosine_pairs(vectors: DataFrame, least: float, block: str) -> DataFrame:
-    """(a, b, cosine) of the pairs within a block that reach ``least``; vectors has id, embedding and the block."""
-    normed = checkpointed(vectors.select("id", block, unit(F.col("embedding")).alias("u")))
-    x, y = normed.alias("x"), normed.alias("y")
-    pairs = x.join(y, F.col(f"x.{block}") == F.col(f"y.{block}")).filter("x.id < y.id")
-    return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), dot(F.col("x.u"), F.col("y.u")).alias("cosine")).filter(F.col("cosine") >= least)
+def cosine_pairs(vectors: DataFrame, least: float, rows: int = BLOCK_ROWS) -> DataFrame:
+    """(a, b, cosine) of all pairs of vectors (id, embedding) that reach ``least``, exactly.
+
+    No bound of the cosine prunes pairs at a low threshold, so all are computed, as products of two
+    blocks of about ``rows`` vectors; only pairs that reach the threshold leave a task.  A task holds two
+    blocks however many vectors there are.  Vectors that are null or zero are in no pair.
+    """
+    normed = checkpointed(vectors.select("id", unit(F.col("embedding")).alias("u")).filter("u is not null and not exists(u, v -> v is null)"))
+    blocks = max(1, -(-normed.count() // rows))
+    own = normed.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    dealt = own.select("id", "u", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+    def products(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        x, y = frame[frame["block"] == key[0]], frame[frame["block"] == key[1]]
+        if not len(x) or not len(y):
+            return pd.DataFrame({"a": [], "b": [], "cosine": []})
+        cosines = np.stack(x["u"].to_numpy()) @ np.stack(y["u"].to_numpy()).T
+        at = np.argwhere(cosines >= least)
+        p, q, c = x["id"].to_numpy()[at[:, 0]], y["id"].to_numpy()[at[:, 1]], cosines[at[:, 0], at[:, 1]]
+        once = p < q if key[0] == key[1] else p != q
+        return pd.DataFrame({"a": np.minimum(p, q)[once], "b": np.maximum(p, q)[once], "cosine": c[once]})
+
+    return dealt.groupBy("i", "j").applyInPandas(products, "a long, b long, cosine double")
 
 
 def joint_scores(pairs: DataFrame) -> DataFrame:
@@ -124,12 +148,12 @@ def hybrid_pairs(articles: DataFrame, vectors: DataFrame) -> DataFrame:
 
     Candidates come from the lexical side: a title base of .90 needs a lexical cosine of 2/3.
     """
-    title = lexical_pairs(tfidf(articles.select("id", F.col("title").alias("text"))), 2 / 3)
-    lead_weights = tfidf(articles.select("id", F.col("lead").alias("text")))
+    title = checkpointed(lexical_pairs(checkpointed(tfidf(articles.select("id", F.col("title").alias("text")))), 2 / 3))
+    lead_weights = checkpointed(tfidf(articles.select("id", F.col("lead").alias("text"))))
     lead = title.select("a", "b").join(lead_weights.select(F.col("id").alias("a"), "term", F.col("weight").alias("wa")), "a")
     lead = lead.join(lead_weights.select(F.col("id").alias("b"), "term", F.col("weight").alias("wb")), ["b", "term"])
     lead = lead.groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("lead_lexical"))
-    side = articles.join(vectors, "id")
+    side = checkpointed(articles.join(vectors, "id"))
     left = side.select(F.col("id").alias("a"), F.col("title").alias("title_a"), F.col("lead").alias("lead_a"), F.col("title_vec").alias("ta"), F.col("lead_vec").alias("la"))
     right = side.select(F.col("id").alias("b"), F.col("title").alias("title_b"), F.col("lead").alias("lead_b"), F.col("title_vec").alias("tb"), F.col("lead_vec").alias("lb"))
     pairs = title.join(lead, ["a", "b"], "left").join(left, "a").join(right, "b")

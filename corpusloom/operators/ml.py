@@ -7,12 +7,15 @@ from collections.abc import Iterable
 from pyspark.ml import Model
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .dedup import tfidf
+from .dedup import checkpointed, terms
 
 DIGITS = 6
+#: Terms of a vocabulary.
+TERMS = 10_000
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
@@ -51,15 +54,26 @@ def weighted(df: DataFrame, label: str = "label") -> DataFrame:
     return df.join(F.broadcast(class_weights(df, label).select(label, "weight")), label)
 
 
-def text_features(texts: DataFrame, top: int = 10_000) -> DataFrame:
-    """(id, features): sublinear TF-IDF over the most frequent terms, as sparse vectors."""
-    from pyspark.ml.linalg import SparseVector, VectorUDT
+def _term_counts(texts: DataFrame) -> DataFrame:
+    return texts.select("id", F.explode_outer(terms(F.col("text"))).alias("term")).filter("term is not null").groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
-    weights = tfidf(texts, longest=2, sublinear=True, top=top)
-    index = weights.select("term").distinct().withColumn("k", F.row_number().over(Window.orderBy("term")) - 1)  # at most ``top`` rows
-    rows = weights.join(F.broadcast(index), "term").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("k", "weight"))).alias("kw"))
-    vector = F.udf(lambda kw: SparseVector(top, [x["k"] for x in kw], [float(x["weight"]) for x in kw]), VectorUDT())
-    return rows.select("id", vector("kw").alias("features"))
+
+def vocabulary(texts: DataFrame, top: int = TERMS) -> DataFrame:
+    """(term, k, idf) of the ``top`` most frequent terms of the texts (id, text)."""
+    seen = _term_counts(texts).groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
+    n = texts.count()
+    best = seen.orderBy(F.col("total").desc(), "term").limit(top)
+    idf = F.log(F.lit(1.0 + n) / (1 + F.col("df"))) + 1
+    return checkpointed(best.select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("k"), idf.alias("idf")))  # at most ``top`` rows
+
+
+def text_features(texts: DataFrame, words: DataFrame, top: int = TERMS) -> DataFrame:
+    """(id, features): sublinear TF-IDF of texts (id, text) over a vocabulary, as sparse unit vectors."""
+    raw = _term_counts(texts).join(F.broadcast(words), "term").select("id", "k", ((1 + F.log("tf")) * F.col("idf")).alias("w"))
+    rows = raw.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("k", "w"))).alias("kw"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    rows = texts.select("id").join(rows, "id", "left")
+    vector = F.udf(lambda kw, norm: SparseVector(top, [x["k"] for x in kw or []], [x["w"] / norm for x in kw or []]), VectorUDT())
+    return rows.select("id", vector("kw", "norm").alias("features"))
 
 
 def array_features(df: DataFrame, column: str) -> DataFrame:
@@ -71,7 +85,7 @@ def fit(kind: str, train: DataFrame, c: float = 1.0) -> Model:
     rows = weighted(train).select(F.col("label").cast("double").alias("label"), "features", "weight").persist()
     try:
         strength = 1.0 / (c * max(1, rows.count()))
-        made = LogisticRegression(weightCol="weight", regParam=strength, maxIter=25) if kind == "logistic" else LinearSVC(weightCol="weight", regParam=strength, maxIter=15)
+        made = LogisticRegression(weightCol="weight", regParam=strength, maxIter=1000) if kind == "logistic" else LinearSVC(weightCol="weight", regParam=strength, maxIter=2000)
         return made.fit(rows)
     finally:
         rows.unpersist()

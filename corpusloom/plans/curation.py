@@ -71,9 +71,9 @@ def tfidf_weights(spark, d):
     return w.groupBy("id").agg(F.count(F.lit(1)).alias("terms"), F.round(F.max("weight"), 6).alias("top_weight"), F.round(F.sum("weight"), 6).alias("total_weight"))
 
 
-@query(f"{A}, {_tfidf(_TITLES, True, 500)} SELECT term, count(*) AS n, round(sum(weight), 6) AS total_weight FROM weights GROUP BY term")
+@query(f"{A}, {_tfidf(_TITLES, True, 10_000)} SELECT term, count(*) AS n, round(sum(weight), 6) AS total_weight FROM weights GROUP BY term")
 def tfidf_topk_vocab(spark, d):
-    w = dedup.tfidf(v.articles(spark, d).select("id", F.col("title").alias("text")), sublinear=True, top=500)
+    w = dedup.tfidf(v.articles(spark, d).select("id", F.col("title").alias("text")), sublinear=True, top=10_000)
     return w.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("weight"), 6).alias("total_weight"))
 
 
@@ -86,11 +86,11 @@ def lexical_pairs(spark, d):
 _DOT = "list_sum(list_transform(range(1, len({0}) + 1), lambda i: CAST({0}[i] AS DOUBLE) * CAST({1}[i] AS DOUBLE)))"
 
 
-@query(f"""WITH u AS (SELECT vec_id AS id, label, embedding AS e, sqrt({_DOT.format('embedding', 'embedding')}) AS n FROM embeddings)
-SELECT x.id AS a, y.id AS b, round({_DOT.format('x.e', 'y.e')} / (x.n * y.n), 6) AS cosine FROM u x JOIN u y ON x.label = y.label AND x.id < y.id WHERE {_DOT.format('x.e', 'y.e')} / (x.n * y.n) >= 0.35""")
+@query(f"""WITH u AS (SELECT vec_id AS id, embedding AS e, sqrt({_DOT.format('embedding', 'embedding')}) AS n FROM embeddings)
+SELECT x.id AS a, y.id AS b, round({_DOT.format('x.e', 'y.e')} / (x.n * y.n), 6) AS cosine FROM u x JOIN u y ON x.id < y.id WHERE {_DOT.format('x.e', 'y.e')} / (x.n * y.n) >= 0.35""")
 def cosine_pairs(spark, d):
-    vectors = v.table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
-    return dedup.cosine_pairs(vectors, 0.35, "label").select("a", "b", F.round("cosine", 6).alias("cosine"))
+    vectors = v.table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    return dedup.cosine_pairs(vectors, 0.35).select("a", "b", F.round("cosine", 6).alias("cosine"))
 
 
 _ASKS = "(CASE WHEN {0} % 3 = 0 THEN {1} || '?' ELSE {1} END)"
@@ -103,12 +103,14 @@ def structure_penalty(spark, d):
     return v.articles(spark, d).select("id", F.round(scoring.length_penalty(asks, F.col("lead")), 6).alias("penalty"))
 
 
+#: A text's vector: of the whole table, the one that the text's hash picks, so equal texts have equal vectors.
+_VEC = "CAST('0x' || left(md5(coalesce({0}, '')), 8) AS BIGINT) % (SELECT max(vec_id) + 1 FROM embeddings)"
 _HYBRID = f"""{_tfidf(_TITLES)}, vec AS (SELECT vec_id AS id, embedding AS e, sqrt({_DOT.format('embedding', 'embedding')}) AS n FROM embeddings),
 tp AS (SELECT a.id AS a, b.id AS b, sum(a.weight * b.weight) AS lex FROM weights a JOIN weights b ON a.term = b.term AND a.id < b.id GROUP BY 1, 2 HAVING sum(a.weight * b.weight) >= 2.0 / 3),
 {_tfidf('SELECT id, lead AS text FROM articles').replace('x AS (', 'x2 AS (', 1).replace('FROM x)', 'FROM x2)').replace('w AS (SELECT id, regexp', 'w2 AS (SELECT id, regexp').replace('FROM w)', 'FROM w2)').replace('g AS (', 'g2 AS (').replace('FROM g ', 'FROM g2 ').replace(' c AS (', ' c2 AS (').replace(chr(10) + 'c AS (', chr(10) + 'c2 AS (').replace('f AS (SELECT term', 'f2 AS (SELECT term').replace('FROM c GROUP', 'FROM c2 GROUP').replace('r AS (SELECT c.id', 'r2 AS (SELECT c.id').replace('FROM c JOIN f ON', 'FROM c2 c JOIN f2 f ON').replace('n AS (SELECT id, sqrt', 'n2 AS (SELECT id, sqrt').replace('FROM r GROUP', 'FROM r2 GROUP').replace('weights AS (', 'weights2 AS (').replace('FROM r JOIN n ON', 'FROM r2 r JOIN n2 n ON')},
 lp AS (SELECT tp.a, tp.b, sum(p.weight * q.weight) AS llex FROM tp JOIN weights2 p ON p.id = tp.a JOIN weights2 q ON q.id = tp.b AND p.term = q.term GROUP BY 1, 2),
-base AS (SELECT tp.a, tp.b, x.title AS ta, y.title AS tb, x.lead AS la, y.lead AS lb, 0.7 * {_DOT.format('u.e', 'z.e')} / (u.n * z.n) + 0.3 * tp.lex AS t0, 0.7 * {_DOT.format('u.e', 'z.e')} / (u.n * z.n) + 0.3 * coalesce(lp.llex, 0) AS l0
-  FROM tp LEFT JOIN lp ON tp.a = lp.a AND tp.b = lp.b JOIN articles x ON x.id = tp.a JOIN articles y ON y.id = tp.b JOIN vec u ON u.id = x.id % 5 JOIN vec z ON z.id = y.id % 5),
+base AS (SELECT tp.a, tp.b, x.title AS ta, y.title AS tb, x.lead AS la, y.lead AS lb, 0.7 * {_DOT.format('u.e', 'z.e')} / (u.n * z.n) + 0.3 * tp.lex AS t0, 0.7 * {_DOT.format('ul.e', 'zl.e')} / (ul.n * zl.n) + 0.3 * coalesce(lp.llex, 0) AS l0
+  FROM tp LEFT JOIN lp ON tp.a = lp.a AND tp.b = lp.b JOIN articles x ON x.id = tp.a JOIN articles y ON y.id = tp.b JOIN vec u ON u.id = {_VEC.format('x.title')} JOIN vec z ON z.id = {_VEC.format('y.title')} JOIN vec ul ON ul.id = {_VEC.format('x.lead')} JOIN vec zl ON zl.id = {_VEC.format('y.lead')}),
 pen AS (SELECT a, b, t0 * {_PENALTY.format('ta', 'tb')} AS ts, l0 * {_PENALTY.format('la', 'lb')} AS ls, t0 FROM base WHERE t0 >= 0.9),
 hp AS (SELECT a, b, 0.6 * ts + 0.4 * ls AS sim FROM pen WHERE NOT (ts >= 0.95 AND ls < 0.75) AND ts >= 0.9 AND ls >= 0.85),
 acts AS (SELECT a, b, sim, CASE WHEN sim >= 0.97 THEN 'auto_remove' WHEN sim >= 0.92 THEN 'probable_dup' WHEN sim >= 0.85 THEN 'review_candidate' END AS action FROM hp WHERE sim >= 0.85)"""
@@ -116,8 +118,12 @@ acts AS (SELECT a, b, sim, CASE WHEN sim >= 0.97 THEN 'auto_remove' WHEN sim >=
 
 def _hybrid(spark, d):
     a = v.articles(spark, d)
-    vec = v.table(spark, d, "embeddings").select(F.col("vec_id").alias("k"), F.col("embedding").alias("e")).filter("k < 5")
-    vectors = a.select("id").join(F.broadcast(vec), F.col("id") % 5 == F.col("k")).select("id", F.col("e").alias("title_vec"), F.col("e").alias("lead_vec"))
+    vec = v.table(spark, d, "embeddings")
+    many = vec.agg(F.max("vec_id")).first()[0] + 1
+    pick = lambda c: F.conv(F.left(F.md5(F.coalesce(c, F.lit("")).cast("binary")), F.lit(8)), 16, 10).cast("long") % many
+    of = lambda name: vec.select(F.col("vec_id").alias(f"{name}_k"), F.col("embedding").alias(f"{name}_vec"))
+    keyed = a.select("id", pick(F.col("title")).alias("title_k"), pick(F.col("lead")).alias("lead_k"))
+    vectors = keyed.join(of("title"), "title_k").join(of("lead"), "lead_k").select("id", "title_vec", "lead_vec")
     return dedup.hybrid_pairs(a.select("id", "title", "lead"), vectors)
 
 
@@ -327,9 +333,9 @@ def punctuation_flags(spark, d):
     return v.articles(spark, d).select("id", *[F.contains("body", F.lit(x)).alias(n) for n, x in (("asks", "?"), ("shouts", "!"), ("trails", "..."))])
 
 
-@query(f"{A} SELECT id, CAST(len(regexp_extract_all(lower('SỐC bí mật sốc ' || left(body, 60)), '{'|'.join(t.SENSATIONAL)}')) AS INT) AS n FROM articles")
+@query(f"{A} SELECT id, CAST(len(regexp_extract_all(lower('SỐC bí mật sốc ' || title || ' ' || body), '{'|'.join(t.SENSATIONAL)}')) AS INT) AS n FROM articles")
 def keyword_count(spark, d):
-    title = F.lower(F.concat(F.lit("SỐC bí mật sốc "), F.left("body", F.lit(60))))
+    title = F.lower(F.concat(F.lit("SỐC bí mật sốc "), "title", F.lit(" "), "body"))
     return v.articles(spark, d).select("id", F.regexp_count(title, F.lit("|".join(t.SENSATIONAL))).alias("n"))
 
 

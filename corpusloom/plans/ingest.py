@@ -148,11 +148,11 @@ for _p in t.BOILERPLATE:
     _BP = f"regexp_replace({_BP}, '(?i){_p}', '', 'g')"
 
 
-@query(rf"""WITH r AS (SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN 'kenh14' ELSE source END AS source, 'Đầu' || chr(10) || 'THEO DÕI CHÚNG TÔI TRÊN mạng' || chr(10) || 'xem thêm CÁC bài viết cùng chủ đề a' || chr(10) || left(text, 80) AS x FROM documents),
+@query(rf"""WITH r AS (SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN 'kenh14' ELSE source END AS source, 'Đầu' || chr(10) || 'THEO DÕI CHÚNG TÔI TRÊN mạng' || chr(10) || 'xem thêm CÁC bài viết cùng chủ đề a' || chr(10) || text AS x FROM documents),
 b AS (SELECT id, CASE WHEN source = 'kenh14' THEN regexp_replace({_BP}, '(?i){t.SOURCE_BOILERPLATE["kenh14"][0]}', '', 'g') ELSE {_BP} END AS x FROM r) SELECT id, {_CLEAN.format('x')} AS x FROM b""")
 def boilerplate(spark, d):
     source = F.when(F.col("doc_id") % 2 == 0, "kenh14").otherwise(F.col("source"))
-    raw = F.concat(F.lit("Đầu\nTHEO DÕI CHÚNG TÔI TRÊN mạng\nxem thêm CÁC bài viết cùng chủ đề a\n"), F.left("text", F.lit(80)))
+    raw = F.concat(F.lit("Đầu\nTHEO DÕI CHÚNG TÔI TRÊN mạng\nxem thêm CÁC bài viết cùng chủ đề a\n"), F.col("text"))
     return v.table(spark, d, "documents").select(F.col("doc_id").alias("id"), t.remove_boilerplate(raw, source).alias("x"))
 
 
