@@ -67,7 +67,7 @@ HOT_LEAST = 64
 def keyed_join(rows: DataFrame, table: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
     """Inner join of rows with one row a key; ``count`` says how many of the ``total`` rows have the key.
 
-    Both must be materialised.  Hot keys, at most HOT_SHARE, are broadcast, so their rows stay where
+    The table must be materialised, and rows cheap to make twice.  Hot keys, at most HOT_SHARE, are broadcast, so their rows stay where
     they are; the rest is joined by key.
     """
     least = max(HOT_LEAST, total // HOT_SHARE)

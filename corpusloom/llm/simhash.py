@@ -40,7 +40,7 @@ SAMPLE, RANKED = 16, 100_000
 ROUND = 8
 #: Up to so many ids or first members are sent to the rows; for more, both are dealt out by key.
 SENT = 20_000
-#: Up to so many shared shingles are.
+#: Up to so many shared shingles, or ids of documents, are.
 SENT_KEYS = 1_000_000
 #: Members of a bucket are ranked in so many parts, of which the best so many meet.
 SALTS, LEADERS = 64, 64
@@ -160,7 +160,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col:
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(n, h): the different word shingles of the documents ``wanted`` (n); an id with several texts has several rows."""
     small_batches(docs.sparkSession)
-    texts = docs.select(F.col(id_col).alias("n"), text_or_empty(text_col).alias("_text")).join(wanted, "n", "left_semi")
+    few = F.broadcast(wanted) if wanted.count() <= SENT_KEYS else wanted
+    texts = docs.select(F.col(id_col).alias("n"), text_or_empty(text_col).alias("_text")).join(few, "n", "left_semi")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -231,7 +232,7 @@ def joined_roots(posts: DataFrame, least: float, sets_of: Callable[[DataFrame],
     often = materialize(posts.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"))
     rows, shared = often.agg(F.sum("c"), F.count(F.lit(1))).first()
     # Most shingles are in one set only: their posts go where they are made, if the others' keys can be sent there.
-    posts = posts.join(F.broadcast(often), "h") if shared <= SENT_KEYS else keyed_join(materialize(posts), often, ["h"], "c", rows)
+    posts = posts.join(F.broadcast(often), "h") if shared <= SENT_KEYS else keyed_join(posts, often, ["h"], "c", rows)
     posts = materialize(posts.distinct())
     weight = posts.groupBy("id").agg(F.sum("c").alias("w"))
     placed = materialize(_placed(posts.join(weight, "id")).select("h", "id", "n", "at", "k"))
@@ -306,7 +307,10 @@ def deduplicate(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str
     prints = known.select(id_as_text("id"), text_or_empty("text").alias("_text")).mapInPandas(run, "_id string, _key binary, _n int, _first array<long>")
     prints = materialize(id_restored(prints, known, "id"))
     classes = materialize(prints.groupBy("_key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("c")))
-    own = materialize(prints.join(classes.select("_key", F.col("rep").alias("id")), ["_key", "id"]).select("id", "_n", "_first"))
+    # Copies are not compared: they are left out where they stand, if they are few enough to be sent there.
+    copies = keyed_join(prints.select("id", "_key"), classes.filter("c > 1"), ["_key"], "c", prints.count()).filter("id <> rep")
+    copies = materialize(copies.select("_key", "id").distinct())
+    own = prints.join(F.broadcast(copies) if copies.count() <= SENT_KEYS else copies, ["_key", "id"], "left_anti")
     posts = own.select("id", F.col("_n").alias("n"), F.posexplode("_first").alias("at", "h"))
     roots = joined_roots(posts, least, lambda wanted: shingle_sets(known, wanted, words, "id", "text"))
     of = classes.withColumn("_keep", F.col("rep")) if roots is None else classes.join(roots, F.col("rep") == F.col("node"), "left").withColumn("_keep", F.coalesce("root", "rep"))
