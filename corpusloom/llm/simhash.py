@@ -259,7 +259,10 @@ def joined_roots(posts: DataFrame, least: float, sets_of: Callable[[DataFrame],
         last = (last + 1) * ROUND
         tried = pairs if tried is None else tried.unionByName(pairs)
         wanted = pairs.select(F.col("a").alias("n")).unionByName(pairs.select(F.col("b").alias("n"))).distinct()
-        good = materialize(similar(pairs, sets.join(wanted, "n", "left_semi"), least))
+        # Whole sets are the widest rows here: those not wanted stay where they are, if the ids can be sent there.
+        wanted = materialize(wanted)
+        few = F.broadcast(wanted) if wanted.count() <= SENT_KEYS else wanted
+        good = materialize(similar(pairs, sets.join(few, "n", "left_semi"), least))
         if good.isEmpty():
             continue
         links = good if links is None else links.unionByName(good)
