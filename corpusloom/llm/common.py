@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterable
 
@@ -58,6 +59,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the files of shuffles that no table needs any more deleted.
+
+    The engine deletes them once the driver's collector finds their tables gone, which by itself may take
+    half an hour; tables that are still named keep theirs.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 #: A key is hot if it has more than one in so many of the rows; then there are at most as many hot keys.
 HOT_SHARE = 4096
 #: Fewer rows of a key are never hot.

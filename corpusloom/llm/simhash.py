@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hidden, id_as_text, id_restored, keyed_join, materialize, shown, small_batches, text_or_empty
+from .common import hidden, id_as_text, id_restored, keyed_join, materialize, release, shown, small_batches, text_or_empty
 from .components import components
 
 SEED = 42
@@ -234,9 +234,11 @@ def joined_roots(posts: DataFrame, least: float, sets_of: Callable[[DataFrame],
     # Most shingles are in one set only: their posts go where they are made, if the others' keys can be sent there.
     posts = posts.join(F.broadcast(often), "h") if shared <= SENT_KEYS else keyed_join(posts, often, ["h"], "c", rows)
     posts = materialize(posts.distinct())
+    release(posts.sparkSession)
     weight = posts.groupBy("id").agg(F.sum("c").alias("w"))
     placed = materialize(_placed(posts.join(weight, "id")).select("h", "id", "n", "at", "k"))
     sets = sets_of(placed.select(F.col("id").alias("n")).distinct())
+    release(posts.sparkSession)
     live = placed.withColumn("root", F.col("id"))
     tried = links = None
     last = 1
@@ -263,6 +265,7 @@ def joined_roots(posts: DataFrame, least: float, sets_of: Callable[[DataFrame],
         wanted = materialize(wanted)
         few = F.broadcast(wanted) if wanted.count() <= SENT_KEYS else wanted
         good = materialize(similar(pairs, sets.join(few, "n", "left_semi"), least))
+        release(good.sparkSession)
         if good.isEmpty():
             continue
         links = good if links is None else links.unionByName(good)
