@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import gc
 import tempfile
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +61,19 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def stored(df: DataFrame) -> Iterator[DataFrame]:
+    """df as a table of the shared folder, deleted at the end of the block: nothing may read it after that."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield spark.read.parquet(path)
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def release(spark: SparkSession) -> None:
     """Have the files of shuffles that no table needs any more deleted.
 

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hidden, id_as_text, id_restored, keyed_join, materialize, release, shown, small_batches, text_or_empty
+from .common import hidden, id_as_text, id_restored, keyed_join, materialize, release, shown, small_batches, stored, text_or_empty
 from .components import components
 
 SEED = 42
@@ -168,7 +168,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str = "
             yield pd.DataFrame({"_id": frame["_id"], "h": [np.unique(hashes(t, words)).view("<i8") for t in frame["_text"]]})
 
     sets = id_restored(texts.select(id_as_text("n"), "_text").mapInPandas(run, "_id string, h array<long>"), docs, id_col)
-    return materialize(sets.select(F.col(id_col).alias("n"), "h"))
+    return sets.select(F.col(id_col).alias("n"), "h")
 
 
 def similar(found: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -237,10 +237,9 @@ def joined_roots(posts: DataFrame, least: float, sets_of: Callable[[DataFrame],
     release(posts.sparkSession)
     weight = posts.groupBy("id").agg(F.sum("c").alias("w"))
     placed = materialize(_placed(posts.join(weight, "id")).select("h", "id", "n", "at", "k"))
-    sets = sets_of(placed.select(F.col("id").alias("n")).distinct())
     release(posts.sparkSession)
     live = placed.withColumn("root", F.col("id"))
-    tried = links = None
+    tried = links = every = None
     last = 1
     while True:
         # Both sides of these joins are tables, so a hot bucket is split where the engine deals skewed joins anew.
@@ -261,10 +260,12 @@ def joined_roots(posts: DataFrame, least: float, sets_of: Callable[[DataFrame],
         last = (last + 1) * ROUND
         tried = pairs if tried is None else tried.unionByName(pairs)
         wanted = pairs.select(F.col("a").alias("n")).unionByName(pairs.select(F.col("b").alias("n"))).distinct()
-        # Whole sets are the widest rows here: those not wanted stay where they are, if the ids can be sent there.
         wanted = materialize(wanted)
-        few = F.broadcast(wanted) if wanted.count() <= SENT_KEYS else wanted
-        good = materialize(similar(pairs, sets.join(few, "n", "left_semi"), least))
+        # Whole sets are the widest rows here: made anew for the ids of a round, if these can be sent to the texts, else once for all.
+        if every is None and wanted.count() > SENT_KEYS:
+            every = materialize(sets_of(placed.select(F.col("id").alias("n")).distinct()))
+        with stored(sets_of(wanted) if every is None else every.join(wanted, "n", "left_semi")) as sets:
+            good = materialize(similar(pairs, sets, least))
         release(good.sparkSession)
         if good.isEmpty():
             continue
