@@ -76,6 +76,20 @@ def _unescape_compose(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: html.unescape(unicodedata.normalize("NFC", t)), na_action="ignore")
 
 
+@F.pandas_udf(StringType())
+def _unescape_ended_compose(texts: pd.Series) -> pd.Series:
+    import html
+    import html.entities
+    import re
+    import unicodedata
+
+    def decoded(m: re.Match) -> str:
+        return html.unescape(m[0]) if m[1][0] == "#" else html.entities.html5.get(f"{m[1]};", m[0])
+
+    ended = re.compile(r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
+    return texts.map(lambda t: ended.sub(decoded, unicodedata.normalize("NFC", t)), na_action="ignore")
+
+
 def rescue_utf8(x: Column) -> Column:
     """UTF-8 that was read as Latin-1, read anew; other text as it is."""
     latin = x.rlike(r"^[\x00-\xFF]*$") & x.rlike(r"[\x80-\xFF]")
@@ -83,13 +97,15 @@ def rescue_utf8(x: Column) -> Column:
     return F.coalesce(F.try_validate_utf8(raw.cast("string")), x)
 
 
-def clean(x: Column) -> Column:
+def clean(x: Column, open_entities: bool = True) -> Column:
     """Rescue, NFC, entities, plain quotes and dashes, single spaces, no zero-width characters.
 
-    Only texts that have other than ASCII characters or an ampersand go through Python.
+    Only texts that have other than ASCII characters or an ampersand go through Python.  Without
+    ``open_entities`` an entity needs its semicolon: a text cut at ``&amp`` keeps that.
     """
     x = rescue_utf8(x)
-    x = F.coalesce(_unescape_compose(F.when(x.rlike(r"[^\x00-\x7F]|&"), x)), x)
+    unescape_compose = _unescape_compose if open_entities else _unescape_ended_compose
+    x = F.coalesce(unescape_compose(F.when(x.rlike(r"[^\x00-\x7F]|&"), x)), x)
     x = F.replace(F.translate(x, "“”‘’–—�", "\"\"''--"), F.lit("…"), F.lit("..."))
     return F.regexp_replace(squeeze(strip(x)), r"[\x{200B}-\x{200D}\x{FEFF}]", "")
 
@@ -102,15 +118,18 @@ def without_tags(x: Column) -> Column:
     return F.regexp_replace(x, "<[^>]+>", "")
 
 
-def html_title(html: Column) -> Column:
+def html_title(html: Column, open_entities: bool = True) -> Column:
     """h1, else og:title, else title without the site's name; each of over five characters."""
 
+    def clean_part(x: Column) -> Column:
+        return clean(x, open_entities)
+
     def if_long(x: Column) -> Column:
         return F.when(F.length(x) > 5, x)
 
-    h1 = clean(without_tags(F.regexp_extract(html, r"(?is)<h1[^>]*>(.*?)</h1>", 1)))
-    og = clean(F.regexp_extract(html, r"""(?i)<meta\s+property=["']og:title["']\s+content=["']([^"']+)["']""", 1))
-    title = strip(F.regexp_replace(clean(F.regexp_extract(html, r"(?is)<title>(.*?)</title>", 1)), r"\s*[-|&]\s*[^-]+$", ""))
+    h1 = clean_part(without_tags(F.regexp_extract(html, r"(?is)<h1[^>]*>(.*?)</h1>", 1)))
+    og = clean_part(F.regexp_extract(html, r"""(?i)<meta\s+property=["']og:title["']\s+content=["']([^"']+)["']""", 1))
+    title = strip(F.regexp_replace(clean_part(F.regexp_extract(html, r"(?is)<title>(.*?)</title>", 1)), r"\s*[-|&]\s*[^-]+$", ""))
     return F.coalesce(if_long(h1), if_long(og), if_long(title))
 
 
