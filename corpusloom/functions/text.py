@@ -149,15 +149,18 @@ def paragraph_lead(html: Column) -> Column:
     return F.get(F.filter(paragraphs(html), lambda p: F.length(p) > 40), 0)
 
 
-def clean_lead(x: Column) -> Column:
-    """A lead without tags, image links, read-more phrases and handles; '' counts as missing."""
+def clean_lead(x: Column, handles: bool = True, open_entities: bool = True) -> Column:
+    """A lead without tags, image links, read-more phrases and, with ``handles``, handles; '' counts as missing.
+
+    A handle is all that follows an ``@``, so with ``handles`` mail addresses lose the first part of their domain.
+    """
     x = squeeze(strip(F.regexp_replace(F.nullif(x, F.lit("")), "<[^>]+>", " ")))
     x = F.regexp_replace(x, f"(?i){IMAGES}", "")
     x = F.regexp_replace(x, f"(?iu)(?:{READ_MORE})", "")
-    return clean(F.regexp_replace(x, r"@[\p{L}\p{N}_]+", ""))
+    return clean(F.regexp_replace(x, r"@[\p{L}\p{N}_]+", "") if handles else x, open_entities)
 
 
-def remove_boilerplate(x: Column, source: Column) -> Column:
+def remove_boilerplate(x: Column, source: Column, open_entities: bool = True) -> Column:
     out = F.nullif(x, F.lit(""))
     for p in BOILERPLATE:
         out = F.regexp_replace(out, f"(?iu){p}", "")
@@ -166,7 +169,7 @@ def remove_boilerplate(x: Column, source: Column) -> Column:
         for p in patterns:
             own = F.regexp_replace(own, f"(?iu){p}", "")
         out = F.when(source == name, own).otherwise(out)
-    return clean(out)
+    return clean(out, open_entities)
 
 
 def dedup_key(x: Column) -> Column:

@@ -29,3 +29,8 @@ def test_html_title_keeps_an_entity_that_was_cut(spark, tmp_path):
     rows = [page(n, t) for n, t in enumerate(["Title cut at &amp;&amp", "Title cut at &amp;&amp", "Tom &amp; Jerry &quot;now&quot;", "Plain title of a page", "Title &copy cut &ampx"])]
     got = assert_equals_sql(spark, tmp_path, "html_title", pages=rows)
     assert (1, "Title cut at &&amp") in got and (2, 'Tom & Jerry "now"') in got
+
+
+def test_assemble_record_keeps_mail_addresses_and_cut_entities(spark, tmp_path):
+    rows = [page(1, "Title cut at &amp;&amp"), page(2, "Write to us", "Questions go to name.14@mail2.example.com or to 'A &amp; B' next door."), page(3, "Plain title of a page")]
+    assert len(assert_equals_sql(spark, tmp_path, "assemble_record", pages=rows)) == 3
