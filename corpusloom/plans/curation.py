@@ -79,8 +79,8 @@ def tfidf_topk_vocab(spark, d):
 
 @query(f"{A}, {_tfidf(_TITLES)} SELECT a.id AS a, b.id AS b, round(sum(a.weight * b.weight), 6) AS lexical FROM weights a JOIN weights b ON a.term = b.term AND a.id < b.id GROUP BY 1, 2 HAVING sum(a.weight * b.weight) >= 2.0 / 3")
 def lexical_pairs(spark, d):
-    w = dedup.tfidf(v.articles(spark, d).select("id", F.col("title").alias("text")))
-    return dedup.lexical_pairs(w, 2 / 3).select("a", "b", F.round("lexical", 6).alias("lexical"))
+    titles = v.articles(spark, d).select("id", F.col("title").alias("text"))
+    return dedup.lexical_pairs_of(titles, 2 / 3).select("a", "b", F.round("lexical", 6).alias("lexical"))
 
 
 _DOT = "list_sum(list_transform(range(1, len({0}) + 1), lambda i: CAST({0}[i] AS DOUBLE) * CAST({1}[i] AS DOUBLE)))"

@@ -34,3 +34,26 @@ def test_html_title_keeps_an_entity_that_was_cut(spark, tmp_path):
 def test_assemble_record_keeps_mail_addresses_and_cut_entities(spark, tmp_path):
     rows = [page(1, "Title cut at &amp;&amp"), page(2, "Write to us", "Questions go to name.14@mail2.example.com or to 'A &amp; B' next door."), page(3, "Plain title of a page")]
     assert len(assert_equals_sql(spark, tmp_path, "assemble_record", pages=rows)) == 3
+
+
+def repeated_documents(n=240):
+    """Few titles and leads, each in many documents, with near copies, and documents without a lead or a word."""
+    long = "common words of a title that many documents share with others"
+    titles = [long, long + " here", long + " There!", "another thing altogether in seven words", "--- !", ""]
+    leads = ["the lead of the first kind has quite a few words too", "the lead of the first kind has quite some words too", "an unlike one", "?"]
+    return [{"doc_id": i, "source": "s", "lang": "en", "text": titles[i % 6] + ("\n" + leads[i % 4] if i % 5 else "")} for i in range(n)]
+
+
+def nearby_vectors(n=12):
+    return [{"vec_id": i, "embedding": [1.0, 0.1 * (i // 3), 0.05 * (i % 3) if i % 4 else -3.0]} for i in range(n)]
+
+
+def test_lexical_pairs_compare_repeated_titles_once(spark, tmp_path, monkeypatch):
+    from corpusloom.operators import dedup
+
+    asked = []
+    kept = dedup.products
+    monkeypatch.setattr(dedup, "products", lambda pairs, *rest: asked.append(pairs.count()) or kept(pairs, *rest))
+    monkeypatch.setattr(dedup, "CHUNK", 7)
+    assert len(assert_equals_sql(spark, tmp_path, "lexical_pairs", documents=repeated_documents())) > 5000
+    assert len(asked) == 1 and asked[0] <= 6
