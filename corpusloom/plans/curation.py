@@ -121,20 +121,18 @@ def _hybrid(spark, d):
     vec = v.table(spark, d, "embeddings")
     many = vec.agg(F.max("vec_id")).first()[0] + 1
     pick = lambda c: F.conv(F.left(F.md5(F.coalesce(c, F.lit("")).cast("binary")), F.lit(8)), 16, 10).cast("long") % many
-    of = lambda name: vec.select(F.col("vec_id").alias(f"{name}_k"), F.col("embedding").alias(f"{name}_vec"))
-    keyed = a.select("id", pick(F.col("title")).alias("title_k"), pick(F.col("lead")).alias("lead_k"))
-    vectors = keyed.join(of("title"), "title_k").join(of("lead"), "lead_k").select("id", "title_vec", "lead_vec")
-    return dedup.hybrid_pairs(a.select("id", "title", "lead"), vectors)
+    keyed = a.select("id", "title", "lead", pick(F.col("title")).alias("title_k"), pick(F.col("lead")).alias("lead_k"))
+    return keyed, vec.select(F.col("vec_id").alias("id"), "embedding")
 
 
 @query(f"{A}, {_HYBRID} SELECT a, b, round(sim, 6) AS similarity, action FROM acts")
 def hybrid_pairs(spark, d):
-    return _hybrid(spark, d).select("a", "b", F.round("similarity", 6).alias("similarity"), "action")
+    return dedup.hybrid_pairs(*_hybrid(spark, d)).select("a", "b", F.round("similarity", 6).alias("similarity"), "action")
 
 
 @query()
 def greedy_resolve(spark, d):
-    return dedup.resolve(v.articles(spark, d), _hybrid(spark, d)).select("id")
+    return dedup.resolve(v.articles(spark, d), dedup.checkpointed(dedup.hybrid_pairs(*_hybrid(spark, d)))).select("id")
 
 
 @query(f"{A} SELECT id, source FROM (SELECT id, source, row_number() OVER (PARTITION BY source ORDER BY md5(CAST(id AS VARCHAR) || ':42'), id) AS n FROM articles) WHERE n <= 10")

@@ -57,3 +57,13 @@ def test_lexical_pairs_compare_repeated_titles_once(spark, tmp_path, monkeypatch
     monkeypatch.setattr(dedup, "CHUNK", 7)
     assert len(assert_equals_sql(spark, tmp_path, "lexical_pairs", documents=repeated_documents())) > 5000
     assert len(asked) == 1 and asked[0] <= 6
+
+
+def test_hybrid_pairs_compare_repeated_articles_once(spark, tmp_path, monkeypatch):
+    from corpusloom.operators import dedup
+
+    asked = []
+    kept = dedup.products
+    monkeypatch.setattr(dedup, "products", lambda pairs, *rest: asked.append(pairs.count()) or kept(pairs, *rest))
+    assert len(assert_equals_sql(spark, tmp_path, "hybrid_pairs", documents=repeated_documents(), embeddings=nearby_vectors())) > 500
+    assert max(asked) <= 24 * 25
