@@ -132,7 +132,8 @@ def hybrid_pairs(spark, d):
 
 @query()
 def greedy_resolve(spark, d):
-    return dedup.resolve(v.articles(spark, d), dedup.checkpointed(dedup.hybrid_pairs(*_hybrid(spark, d)))).select("id")
+    members, pairs = dedup.hybrid_classes(*_hybrid(spark, d))
+    return dedup.resolve_classes(v.articles(spark, d), members, dedup.checkpointed(pairs)).select("id")
 
 
 @query(f"{A} SELECT id, source FROM (SELECT id, source, row_number() OVER (PARTITION BY source ORDER BY md5(CAST(id AS VARCHAR) || ':42'), id) AS n FROM articles) WHERE n <= 10")

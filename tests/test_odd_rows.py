@@ -67,3 +67,20 @@ def test_hybrid_pairs_compare_repeated_articles_once(spark, tmp_path, monkeypatc
     monkeypatch.setattr(dedup, "products", lambda pairs, *rest: asked.append(pairs.count()) or kept(pairs, *rest))
     assert len(assert_equals_sql(spark, tmp_path, "hybrid_pairs", documents=repeated_documents(), embeddings=nearby_vectors())) > 500
     assert max(asked) <= 24 * 25
+
+
+def test_greedy_resolve_on_classes_equals_the_scan_of_all_pairs(spark, tmp_path):
+    from corpusloom.operators import dedup
+    from corpusloom.plans import curation, views
+
+    for table, rows in (("documents", repeated_documents()), ("embeddings", nearby_vectors())):
+        pq.write_table(pa.Table.from_pylist(rows), f"{tmp_path}/{table}.parquet")
+    pairs = curation.Q["hybrid_pairs"](spark, str(tmp_path)).collect()
+    removed = set()
+    for a, b in sorted((r.a, r.b) for r in pairs if r.action == "auto_remove"):
+        if a not in removed:
+            removed.add(b)
+    got = [r.id for r in curation.Q["greedy_resolve"](spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(set(range(240)) - removed) and removed
+    members, classes = dedup.hybrid_classes(*curation._hybrid(spark, str(tmp_path)))
+    assert classes.count() < len(pairs) / 10 and views.articles(spark, str(tmp_path)).count() == 240
