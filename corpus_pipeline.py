@@ -21,7 +21,7 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles, similarity 0.8 or more."""
+    """One document of each group of near copies stays: SimHash candidates, then all others; five-word shingles, similarity 0.8 or more."""
     return simhash.deduplicate(docs)
 
 

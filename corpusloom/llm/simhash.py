@@ -219,7 +219,15 @@ def _lowered(links: DataFrame) -> DataFrame:
     return materialize(roots)
 
 
-def joined_roots(posts: DataFrame, least: float, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+def near_fingerprints(prints: DataFrame, radius: int) -> DataFrame:
+    """(a, b) with a < b of (id, fp): ids tied by equal fingerprints or by ``links`` of classes within the radius."""
+    groups = materialize(prints.groupBy("fp").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("c")))
+    equal = keyed_join(prints, groups, ["fp"], "c", prints.count()).select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    ties = links(groups.select("fp", "rep"), radius).select("a", "b").unionByName(equal)
+    return materialize(ties.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct())
+
+
+def joined_roots(posts: DataFrame, least: float, sets_of: Callable[[DataFrame], DataFrame], first: DataFrame | None = None) -> DataFrame | None:
     """(node, root) of the components of all pairs with a Jaccard similarity of ``least`` or more.
 
     ``posts`` (h, id, n, at) lists each set under the shingles of its prefix: its size, and the place
@@ -227,7 +235,8 @@ def joined_roots(posts: DataFrame, least: float, sets_of: Callable[[DataFrame],
     all later members that are not seen to be connected to them, and then leave the bucket.  A bucket
     is done when its members are seen to be connected.  So each pair of a bucket is either compared or known to
     be connected, and a group of near copies costs pairs in proportion to its members.  Members go by
-    how many others share their prefix, so that the middle of a group comes first.  None without links.
+    how many others share their prefix, so that the middle of a group comes first.  The first round compares the
+    candidates ``first`` (a, b) too.  None without links.
     """
     often = materialize(posts.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"))
     rows, shared = often.agg(F.sum("c"), F.count(F.lit(1))).first()
@@ -254,7 +263,8 @@ def joined_roots(posts: DataFrame, least: float, sets_of: Callable[[DataFrame],
         room = F.least(F.col("p.n") - F.col("p.at"), F.col("q.n") - F.col("q.at"))
         fits = (1 + least) * room >= least * (F.col("p.n") + F.col("q.n")) - SLACK
         pairs = q.join(p, (F.col("p.h") == F.col("q.h")) & (F.col("p.k") < F.col("q.k")) & (F.col("p.root") != F.col("q.root")) & fits)
-        pairs = pairs.select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b")).distinct()
+        pairs = pairs.select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b"))
+        pairs = (pairs if tried is not None or first is None else pairs.unionByName(first)).distinct()
         pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         live = live.filter(F.col("k") >= last)
         last = (last + 1) * ROUND
@@ -273,11 +283,12 @@ def joined_roots(posts: DataFrame, least: float, sets_of: Callable[[DataFrame],
         live = live.drop("root").join(_lowered(links), F.col("id") == F.col("node"), "left").select("h", "id", "n", "at", "k", F.coalesce("root", "id").alias("root"))
 
 
-def deduplicate(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicate(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", radius: int = 2) -> DataFrame:
     """docs with one document, that of the smallest id, for each group of near copies.
 
     Documents are linked if they share ``least`` of their different ``words``-word shingles (Jaccard); groups
-    are the connected components of all such links.  Candidates are exact: with the shingles of every
+    are the connected components of all such links.  Candidates come from the fingerprints first: documents within ``radius`` bits, by
+    the tables of ``links``.  Fingerprints alone lose such pairs, so the rest is found exactly: with the shingles of every
     document in one common order, rare ones first, two similar documents have a shingle in common among the
     first n - ceil(least n) + 1 of their n.  The order comes from a sample; it changes the work, not the result.
     Documents with equal sets of shingles are one class, compared by its smallest id.
@@ -296,22 +307,23 @@ def deduplicate(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str
     def row(text: str) -> tuple:
         import xxhash
 
-        own = np.unique(hashes(text, words)).view("<i8")
+        hashed = hashes(text, words)
+        own = np.unique(hashed).view("<i8")
         key = xxhash.xxh3_128_digest(own.tobytes())
         first = len(own) - math.ceil(least * len(own) - SLACK) + 1 if len(own) else 0
         count = np.zeros(len(own), np.int64)
         if len(common):
             at = np.minimum(np.searchsorted(common, own), len(common) - 1)
             count = np.where(common[at] == own, often[at], 0)
-        return key, len(own), own[np.lexsort((own, count))[:first]]
+        return key, majority(hashed), len(own), own[np.lexsort((own, count))[:first]]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out = pd.DataFrame([row(t) for t in frame["_text"]], columns=["_key", "_n", "_first"])
+            out = pd.DataFrame([row(t) for t in frame["_text"]], columns=["_key", "fp", "_n", "_first"])
             out.insert(0, "_id", frame["_id"].to_numpy())
             yield out
 
-    prints = known.select(id_as_text("id"), text_or_empty("text").alias("_text")).mapInPandas(run, "_id string, _key binary, _n int, _first array<long>")
+    prints = known.select(id_as_text("id"), text_or_empty("text").alias("_text")).mapInPandas(run, "_id string, _key binary, fp long, _n int, _first array<long>")
     prints = materialize(id_restored(prints, known, "id"))
     classes = materialize(prints.groupBy("_key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("c")))
     # Copies are not compared: they are left out where they stand, if they are few enough to be sent there.
@@ -319,7 +331,9 @@ def deduplicate(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str
     copies = materialize(copies.select("_key", "id").distinct())
     own = prints.join(F.broadcast(copies) if copies.count() <= SENT_KEYS else copies, ["_key", "id"], "left_anti")
     posts = own.select("id", F.col("_n").alias("n"), F.posexplode("_first").alias("at", "h"))
-    roots = joined_roots(posts, least, lambda wanted: shingle_sets(known, wanted, words, "id", "text"))
+    tied = near_fingerprints(own.select("id", "fp"), radius)
+    release(docs.sparkSession)
+    roots = joined_roots(posts, least, lambda wanted: shingle_sets(known, wanted, words, "id", "text"), tied)
     of = classes.withColumn("_keep", F.col("rep")) if roots is None else classes.join(roots, F.col("rep") == F.col("node"), "left").withColumn("_keep", F.coalesce("root", "rep"))
     kept = keyed_join(prints.select("id", "_key"), materialize(of.select("_key", "_keep", "c")), ["_key"], "c", prints.count())
     gone = kept.filter(F.col("id") != F.col("_keep")).select(F.col("id").alias("_gone")).distinct()

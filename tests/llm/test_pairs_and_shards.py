@@ -284,3 +284,21 @@ def test_pipeline_packs_what_it_keeps(spark, sf_dir):
     kept = packed.select("doc_id").distinct().count()
     assert 0.6 * docs.count() < kept <= docs.count()
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").count() == 0
+
+
+def test_near_copies_are_looked_for_by_fingerprints_first(spark, monkeypatch):
+    import corpus_pipeline
+    from corpusloom.llm import simhash
+
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(base), " ".join(base[:-1] + ["x"]), " ".join(f"v{i}" for i in range(200)), " ".join([*base, *base])]
+    prints = [simhash.fingerprint(t, 5) for t in texts]
+    near = {(i, j) for i in range(4) for j in range(i) if ((prints[i] ^ prints[j]) & (1 << 64) - 1).bit_count() <= 2}
+    near = {(b, a) for a, b in near}
+    assert near
+    tied, asked = [], []
+    links, similar = simhash.links, simhash.similar
+    monkeypatch.setattr(simhash, "links", lambda *a, **k: tied.append(1) or links(*a, **k))
+    monkeypatch.setattr(simhash, "similar", lambda found, *rest: asked.extend((r.a, r.b) for r in found.collect()) or similar(found, *rest))
+    kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2] and tied and near <= set(asked)
