@@ -24,10 +24,12 @@ ignored, whatever their names.  An empty table gives an empty one.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -41,20 +43,38 @@ END = 0
 #: Characters that the tokenizer's pattern counts as white space; no token of a text spans the start of a run of them.
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CHUNK = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
-#: Chunks whose ids a worker remembers.
+#: Chunks that are cut into the tokenizer's words here: ASCII without the apostrophe, Latin letters, at most one space or line feed before.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+SIGNS = r"!-&(-/:-@\[-`{-~"
+SIMPLE = re.compile(f"[ \n]?[{LETTERS}0-9{SIGNS}]+")
+WORD = re.compile(f" ?(?:[{LETTERS}]+|[0-9]+|[{SIGNS}]+)|\n")
+#: The pre-tokenizer whose words ``WORD`` finds.
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+#: Chunks, and words of chunks, whose ids a worker remembers.
 REMEMBERED = 1 << 18
+#: The space in the letters of byte-level models.
+SPACE = "\u0120"
 #: Pieces longer than these parts of a sequence are placed before the shorter ones.
 CLASSES = (0.5, 0.25, 0.0)
 #: Rounds of a job.
 ROUNDS = 8
 
 
+def byte_letters() -> dict[int, int]:
+    """The character that byte-level models have for each byte."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hid = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hid)}
+
+
 class Encoder:
     """Ids of texts by the ``tokenizers`` library, with the ids of frequent chunks remembered.
 
     A text is cut before each run of white space, where the tokenizer's pattern always starts a
-    new token, so the ids of the chunks joined are the ids of the text.  Texts with an added
-    token's content are encoded in one go.
+    new token, so the ids of the chunks joined are the ids of the text.  Of a chunk that is not remembered, if it is
+    ``SIMPLE``, the words of the pattern go to the library's model one by one, and their ids are remembered too;
+    other chunks, and all chunks if the tokenizer has another pre-tokenizer or a normalizer, go through the whole
+    tokenizer.  Texts with an added token's content are encoded in one go.
     """
 
     def __init__(self, path: str) -> None:
@@ -62,23 +82,66 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        made_of = json.loads(self.tokenizer.to_str())
+        self.by_words = made_of["normalizer"] is None and BYTE_LEVEL.items() <= (made_of["pre_tokenizer"] or {}).items()
+        self.letters = byte_letters()
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        #: Marks, by hash, of what has come before.
+        self.met = bytearray(1 << 23)
 
     def plain(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def word(self, word: str) -> bytes:
+        """Ids of one word of the pattern."""
+        known = self.words.get(word)
+        if known is not None:
+            return known
+        if word.isascii() and word != "\n":
+            shown = SPACE + word[1:] if word[0] == " " else word
+        else:
+            shown = word.encode().decode("latin-1").translate(self.letters)
+        tokens = self.model.tokenize(shown)
+        ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        self.remember(self.words, word, ids)
+        return ids
+
+    def remember(self, where: dict[str, bytes], chunk: str, ids: bytes) -> None:
+        """Short ones that come for the second time (or seem to): most come only once, and would fill the memory."""
+        if len(where) < REMEMBERED and len(chunk) <= 32:
+            at = hash(chunk) & (len(self.met) - 1)
+            if self.met[at]:
+                where[chunk] = ids
+            else:
+                self.met[at] = 1
+
+    def made(self, chunks: Iterable[str]) -> dict[str, bytes]:
+        """Ids of different chunks."""
+        out, others = {}, []
+        for c in chunks:
+            if not self.by_words or not SIMPLE.fullmatch(c):
+                others.append(c)
+            elif c.isalpha() or c[0] == " " and c[1:].isalpha():
+                out[c] = self.word(c)
+            else:
+                out[c] = b"".join(map(self.word, WORD.findall(c)))
+        out.update(zip(others, self.plain(others), strict=True))
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         whole = [any(a in t for a in self.added) for t in texts]
-        chunks = [[t] if w else CHUNK.findall(t) for t, w in zip(texts, whole, strict=True)]
-        known = self.known
-        new = list({c for own in chunks for c in own if c not in known})
-        found = dict(zip(new, self.plain(new), strict=True))
-        out = [b"".join([known[c] if c in known else found[c] for c in own]) for own in chunks]
-        if len(known) < REMEMBERED:
-            known.update((c, ids) for c, ids in found.items() if len(c) <= 32)
-        return out
+        chunks = [[] if w else CHUNK.findall(t) for t, w in zip(texts, whole, strict=True)]
+        held = [list(map(self.known.get, own)) for own in chunks]
+        new = self.made({c for own, ids in zip(chunks, held, strict=True) for c, i in zip(own, ids, strict=True) if i is None})
+        out = [b"".join([new[c] if i is None else i for c, i in zip(own, ids, strict=True)]) for own, ids in zip(chunks, held, strict=True)]
+        for c, ids in new.items() if len(self.known) < REMEMBERED else ():
+            self.remember(self.known, c, ids)
+        entire = iter(self.plain([t for t, w in zip(texts, whole, strict=True) if w]))
+        return [next(entire) if w else ids for ids, w in zip(out, whole, strict=True)]
 
 
 @functools.cache

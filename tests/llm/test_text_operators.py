@@ -186,6 +186,25 @@ def test_remembered_chunks_give_the_ids_of_the_library():
         assert enc.encode(texts) == [np.asarray(e.ids, "<u4").tobytes() for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_packing_encodes_new_words_without_the_whole_tokenizer(monkeypatch):
+    import random
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(JSON)
+    some = random.Random(5)
+    parts = ["ab", "Zz", "é", "ß", "ſ", "ñ", "0", "19", ",", "***", "<|", "|>", '"', "_", "{", "-"]
+    plain = [some.choice(["", " ", "\n", "  x "]) + " ".join("".join(some.choices(parts, k=9)) for _ in range(9)) for _ in range(300)]
+    enc = packing.Encoder(JSON)
+    sent, through = [], enc.plain
+    monkeypatch.setattr(enc, "plain", lambda texts: sent.extend(texts) or through(texts))
+    expected = [np.asarray(e.ids, "<u4").tobytes() for e in t.encode_batch(plain, add_special_tokens=False)]
+    assert enc.encode(plain) == expected == enc.encode(plain)
+    assert all(c.startswith("  ") for c in sent)
+    # What the words here are not cut for: apostrophes, marks, other letters and numbers, wide white space, added tokens.
+    odd = ["don't 'tis '' a'sb 'll1 \"'s", "n\u0303a a\u0303", "日本1 ⅷ² ªº µ ×÷", "a\r\n b \t c\x1cd \u3000e", "x<|endoftext|>y z", "<|endoftext|", "", "é" * 5000]
+    assert enc.encode(odd) == [np.asarray(e.ids, "<u4").tobytes() for e in t.encode_batch(odd, add_special_tokens=False)]
+
+
 def test_packing_covers_every_token(spark):
     from tokenizers import Tokenizer
 
