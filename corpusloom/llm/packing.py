@@ -26,13 +26,12 @@ from __future__ import annotations
 import functools
 import json
 import os
-import re
-import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,108 +39,228 @@ from .common import global_rank, id_as_text, id_restored, materialize, small_bat
 
 CAPACITY = 2048
 END = 0
-#: Characters that the tokenizer's pattern counts as white space; no token of a text spans the start of a run of them.
-SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-CHUNK = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
-#: Chunks that are cut into the tokenizer's words here: ASCII without the apostrophe, Latin letters, at most one space or line feed before.
-LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-SIGNS = r"!-&(-/:-@\[-`{-~"
-SIMPLE = re.compile(f"[ \n]?[{LETTERS}0-9{SIGNS}]+")
-WORD = re.compile(f" ?(?:[{LETTERS}]+|[0-9]+|[{SIGNS}]+)|\n")
-#: The pre-tokenizer whose words ``WORD`` finds.
+#: Kinds of bytes: a space; other white space of one byte; letters (ASCII, and Latin ones of the lead bytes C3 to C8); digits;
+#: signs of ASCII; then what is not cut into words here: apostrophes, white space of several bytes, all the rest.
+BLANK, WHITE, LETTER, DIGIT, SIGN, APOSTROPHE, WIDE, OTHER = range(8)
+WORDS = (LETTER, DIGIT, SIGN)
+#: What the tokenizer's pattern counts as white space of several bytes: the bytes after each lead byte.
+WIDE_SPACES: dict[int, list[bytes]] = {}
+for _code in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000):
+    WIDE_SPACES.setdefault(chr(_code).encode()[0], []).append(chr(_code).encode()[1:])
+#: The pre-tokenizer whose words the cuts find.
 BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
-#: Chunks, and words of chunks, whose ids a worker remembers.
+#: Chunks whose ids a worker remembers.
 REMEMBERED = 1 << 18
-#: The space in the letters of byte-level models.
-SPACE = "\u0120"
+#: Bytes of text that are cut at a time.
+BLOCK = 1 << 22
+#: The byte between words that go to the model together: no UTF-8 text has it.
+BETWEEN = 0xFF
 #: Pieces longer than these parts of a sequence are placed before the shorter ones.
 CLASSES = (0.5, 0.25, 0.0)
 #: Rounds of a job.
 ROUNDS = 8
 
 
-def byte_letters() -> dict[int, int]:
-    """The character that byte-level models have for each byte."""
+def byte_letters() -> np.ndarray:
+    """The character that byte-level models have for each byte; a line feed, which they have for none, for ``BETWEEN``."""
     shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    hid = [b for b in range(256) if b not in shown]
-    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hid)}
+    hid = iter(range(256, 512))
+    return np.array([b if b in shown else next(hid) for b in range(255)] + [10], "<u4")
+
+
+def byte_kinds() -> np.ndarray:
+    def kind(b: int) -> int:
+        c = chr(b)
+        if b >= 0x7F or b < 9 or 13 < b < 32:
+            return LETTER if 0xC3 <= b <= 0xC8 else OTHER
+        return BLANK if c == " " else WHITE if b < 32 else LETTER if c.isalpha() else DIGIT if c.isdigit() else APOSTROPHE if c == "'" else SIGN
+
+    return np.array([kind(b) for b in range(256)], np.uint8)
+
+
+def pair_cuts() -> tuple[np.ndarray, np.ndarray]:
+    """For 8 * the kind of a byte + that of the next one: whether the text is cut between them; whether it is if no white space follows."""
+    white = (BLANK, WHITE, WIDE)
+    always, before_last = np.zeros(64, bool), np.zeros(64, bool)
+    for a in range(8):
+        for b in range(8):
+            starts_run = a not in white and b in white
+            after_run = a == WHITE and b not in white
+            words = a in WORDS and b in WORDS and a != b or a in (LETTER, DIGIT) and b == APOSTROPHE
+            always[8 * a + b] = starts_run or after_run or words
+            before_last[8 * a + b] = a in white and b in (BLANK, WHITE)
+    return always, before_last
+
+
+KINDS = byte_kinds()
+CUT, CUT_BEFORE_LAST = pair_cuts()
+
+
+def kinds(data: np.ndarray) -> np.ndarray:
+    """The kind of each byte; all bytes of a character have the same."""
+    out = KINDS[data]
+    lead = np.flatnonzero((data >= 0xC3) & (data <= 0xC8))
+    lead = lead[lead + 1 < len(data)]
+    follows = data[lead + 1]
+    out[lead + 1] = LETTER
+    sign = lead[(data[lead] == 0xC3) & ((follows == 0x97) | (follows == 0xB7))]  # the signs of multiplication and division
+    out[sign] = out[sign + 1] = OTHER
+    for first, rests in WIDE_SPACES.items():
+        lead = np.flatnonzero(data == first)
+        more = len(rests[0])
+        lead = lead[lead + more < len(data)]
+        for rest in rests if len(lead) else ():
+            at = lead[np.logical_and.reduce([data[lead + 1 + i] == c for i, c in enumerate(rest)])]
+            for i in range(more + 1):
+                out[at + i] = WIDE
+    return out
+
+
+def cuts(kind: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where the chunks of texts start, given the kinds of their bytes and where texts start.
+
+    The tokenizer's pattern starts a word at each of these places, whatever comes before: where a run of
+    white space starts, before its last character if more follows in the text, and after that unless it is a space, which belongs to
+    what follows; between letters, digits and signs, and before an apostrophe after letters or digits.
+    """
+    pair = (kind[:-1] << 3) | kind[1:]
+    out = np.zeros(len(kind) + 1, bool)
+    out[1:-1] = CUT[pair]
+    new = np.zeros(len(kind) + 1, bool)
+    new[starts] = new[-1] = True
+    last = np.flatnonzero(CUT_BEFORE_LAST[pair]) + 1
+    last = last[~new[last + 1]]
+    after = kind[last + 1]
+    out[last[(after != BLANK) & (after != WHITE) & (after != WIDE)]] = True
+    return np.flatnonzero((out | new)[:-1])
 
 
 class Encoder:
     """Ids of texts by the ``tokenizers`` library, with the ids of frequent chunks remembered.
 
-    A text is cut before each run of white space, where the tokenizer's pattern always starts a
-    new token, so the ids of the chunks joined are the ids of the text.  Of a chunk that is not remembered, if it is
-    ``SIMPLE``, the words of the pattern go to the library's model one by one, and their ids are remembered too;
-    other chunks, and all chunks if the tokenizer has another pre-tokenizer or a normalizer, go through the whole
-    tokenizer.  Texts with an added token's content are encoded in one go.
+    Texts are cut where the tokenizer's pattern always starts a new word (``cuts``), so the ids of the chunks joined are the ids of
+    the text.  Each different chunk of a block is encoded once.  Those that are one word of the pattern go to the library's model,
+    all new ones of a block in one call; the others (apostrophes, other scripts) go through the whole tokenizer.  Texts with an
+    added token's content are encoded in one go, and so are all texts if the tokenizer has another pre-tokenizer or a normalizer.
     """
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one core a task
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         made_of = json.loads(self.tokenizer.to_str())
-        self.by_words = made_of["normalizer"] is None and BYTE_LEVEL.items() <= (made_of["pre_tokenizer"] or {}).items()
+        self.by_words = not any(made_of[k] for k in ("normalizer", "truncation", "padding")) and BYTE_LEVEL.items() <= (made_of["pre_tokenizer"] or {}).items()
+        #: The model alone: words in the letters of byte-level models, between line feeds.
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
         self.letters = byte_letters()
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        #: Bytes of each token.
+        self.sizes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self.sizes[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self.known: dict[bytes, bytes] = {}
         #: Marks, by hash, of what has come before.
         self.met = bytearray(1 << 23)
 
     def plain(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def word(self, word: str) -> bytes:
-        """Ids of one word of the pattern."""
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        if word.isascii() and word != "\n":
-            shown = SPACE + word[1:] if word[0] == " " else word
-        else:
-            shown = word.encode().decode("latin-1").translate(self.letters)
-        tokens = self.model.tokenize(shown)
-        ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-        self.remember(self.words, word, ids)
-        return ids
-
-    def remember(self, where: dict[str, bytes], chunk: str, ids: bytes) -> None:
-        """Short ones that come for the second time (or seem to): most come only once, and would fill the memory."""
-        if len(where) < REMEMBERED and len(chunk) <= 32:
+    def words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of the pattern, by the model: the sizes of the tokens tell where a word ends."""
+        if not words:
+            return []
+        shown = self.letters[np.frombuffer(bytes([BETWEEN]).join(words), np.uint8)].tobytes().decode("utf-32-le")
+        ids = np.asarray(self.model.encode_batch_fast([shown], add_special_tokens=False)[0].ids, "<u4")
+        reached = np.cumsum(self.sizes[ids])
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        last = np.searchsorted(reached, ends)
+        if not len(ids) or reached[-1] != ends[-1] or (reached[last] != ends).any():
+            return self.plain([w.decode() for w in words])  # a model whose tokens are not the bytes of the word
+        raw, to = ids.tobytes(), (4 * (last + 1)).tolist()
+        return [raw[a:b] for a, b in zip([0, *to], to)]
+
+    def remember(self, chunk: bytes, ids: bytes) -> None:
+        """Short ones that come in a second block (or seem to): most come only once, and would fill the memory."""
+        if len(self.known) < REMEMBERED and len(chunk) <= 32:
             at = hash(chunk) & (len(self.met) - 1)
             if self.met[at]:
-                where[chunk] = ids
+                self.known[chunk] = ids
             else:
                 self.met[at] = 1
 
-    def made(self, chunks: Iterable[str]) -> dict[str, bytes]:
-        """Ids of different chunks."""
-        out, others = {}, []
-        for c in chunks:
-            if not self.by_words or not SIMPLE.fullmatch(c):
-                others.append(c)
-            elif c.isalpha() or c[0] == " " and c[1:].isalpha():
-                out[c] = self.word(c)
-            else:
-                out[c] = b"".join(map(self.word, WORD.findall(c)))
-        out.update(zip(others, self.plain(others), strict=True))
-        return out
+    def block(self, data: np.ndarray, starts: np.ndarray, final: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(where chunks start and the last one ends, ids, how many of them before each of these places).
+
+        If more of the data follows, the chunks end where the last cut is sure.
+        """
+        if self.by_words:
+            kind = kinds(data)
+            at = cuts(kind, starts)
+            if not final:  # what follows the last bytes is not seen
+                at = at[at < len(data) - 8]
+        else:
+            kind, at = np.full(len(data), OTHER, np.uint8), np.unique(starts)
+        if final:
+            at = np.append(at, len(data))
+        many = len(at) - 1
+        if many < 1:
+            return at, np.empty(0, "<u4"), np.zeros(len(at), np.int64)
+        chunks = pa.Array.from_buffers(pa.binary(), many, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)]).dictionary_encode()
+        which, different = chunks.indices.to_numpy(), chunks.dictionary.to_pylist()
+        odd = np.empty(len(different), bool)
+        odd[which] = np.maximum.reduceat(kind[: at[-1]], at[:-1]) >= APOSTROPHE
+        held = list(map(self.known.get, different))
+        new = [i for i, ids in enumerate(held) if ids is None]
+        simple, others = [i for i in new if not odd[i]], [i for i in new if odd[i]]
+        made = self.words([different[i] for i in simple]) + self.plain([different[i].decode() for i in others])
+        for i, ids in zip(simple + others, made, strict=True):
+            held[i] = ids
+            self.remember(different[i], ids)
+        sizes = np.fromiter(map(len, held), np.int64, len(held)) // 4
+        first = np.cumsum(sizes) - sizes
+        each = sizes[which]
+        before = np.concatenate([[0], np.cumsum(each)])
+        ids = np.frombuffer(b"".join(held), "<u4")[np.repeat(first[which] - before[:-1], each) + np.arange(before[-1])]
+        return at, ids, before
+
+    def joined(self, data: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where those of each text start and the last end), given the texts joined and where each starts and the last ends."""
+        raw = np.frombuffer(data, np.uint8)
+        bounds, parts, low, total, length = np.zeros(len(starts), np.int64), [], 0, 0, BLOCK
+        while low < len(raw):
+            high = min(low + length, len(raw))
+            own = starts[np.searchsorted(starts, low) : np.searchsorted(starts, high)] - low
+            at, ids, before = self.block(raw[low:high], np.append(0, own), high == len(raw))
+            if len(at) < 2:  # no cut in the block
+                length *= 2
+                continue
+            i, j = np.searchsorted(starts, [low, low + at[-1]])
+            bounds[i:j] = total + before[np.searchsorted(at, starts[i:j] - low)]
+            parts.append(ids)
+            total += len(ids)
+            low, length = low + int(at[-1]), BLOCK
+        bounds[np.searchsorted(starts, len(raw)) :] = total
+        return np.concatenate(parts) if parts else np.empty(0, "<u4"), bounds
+
+    def encode_joined(self, data: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``joined``, for texts that may have an added token's content."""
+        if not any(a in data for a in self.added):
+            return self.joined(data, starts)
+        texts = [data[a:b] for a, b in zip(starts.tolist(), starts[1:].tolist())]
+        whole = [any(a in t for a in self.added) for t in texts]
+        entire = iter(self.plain([t.decode() for t, w in zip(texts, whole, strict=True) if w]))
+        rest = [b"" if w else t for t, w in zip(texts, whole, strict=True)]
+        ids, at = self.joined(b"".join(rest), np.cumsum([0, *map(len, rest)]))
+        out = [np.frombuffer(next(entire), "<u4") if w else ids[a:b] for w, a, b in zip(whole, at, at[1:])]
+        return np.concatenate(out), np.cumsum([0, *map(len, out)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        whole = [any(a in t for a in self.added) for t in texts]
-        chunks = [[] if w else CHUNK.findall(t) for t, w in zip(texts, whole, strict=True)]
-        held = [list(map(self.known.get, own)) for own in chunks]
-        new = self.made({c for own, ids in zip(chunks, held, strict=True) for c, i in zip(own, ids, strict=True) if i is None})
-        out = [b"".join([new[c] if i is None else i for c, i in zip(own, ids, strict=True)]) for own, ids in zip(chunks, held, strict=True)]
-        for c, ids in new.items() if len(self.known) < REMEMBERED else ():
-            self.remember(self.known, c, ids)
-        entire = iter(self.plain([t for t, w in zip(texts, whole, strict=True) if w]))
-        return [next(entire) if w else ids for ids, w in zip(out, whole, strict=True)]
+        raw = [t.encode() for t in texts]
+        ids, at = self.encode_joined(b"".join(raw), np.cumsum([0, *map(len, raw)]))
+        return [ids[a:b].tobytes() for a, b in zip(at, at[1:])]
 
 
 @functools.cache
@@ -160,17 +279,34 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_co
     """(id, piece, start, length, ids_crc32)."""
     small_batches(docs.sparkSession)
     end = np.asarray([END], "<u4").tobytes()
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(tokenizer_path)
-        for frame in frames:
-            rows = []
-            for i, ids in zip(frame["_id"], enc.encode(frame["_text"].tolist()), strict=True):
-                ids += end
-                rows.extend((i, k, at, n, zlib.crc32(ids[4 * at : 4 * (at + n)])) for k, (at, n) in enumerate(cut(len(ids) // 4, capacity)))
-            yield pd.DataFrame(rows, columns=["_id", "piece", "start", "length", "ids_crc32"])
-
-    out = docs.select(id_as_text(id_col), text_or_empty(text_col).alias("_text")).mapInPandas(run, "_id string, piece int, start long, length long, ids_crc32 long")
+    kind = pa.schema([("_id", pa.string()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
+
+    def rows(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(batches).combine_chunks()
+        texts = table["_text"].cast(pa.large_binary()).combine_chunks()
+        starts = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        held = texts.buffers()[2]
+        data = held.slice(starts[0], starts[-1] - starts[0]).to_pybytes() if held else b""
+        ids, at = encoder(tokenizer_path).encode_joined(data, starts - starts[0])
+        out = []
+        for i, a, b in zip(table["_id"].to_pylist(), at.tolist(), at[1:].tolist(), strict=False):
+            own = ids[a:b].tobytes() + end
+            out.extend((i, k, low, n, zlib.crc32(own[4 * low : 4 * (low + n)])) for k, (low, n) in enumerate(cut(len(own) // 4, capacity)))
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), kind, strict=True)], schema=kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.nbytes
+            if size >= BLOCK:
+                yield rows(held)
+                held, size = [], 0
+        if held:
+            yield rows(held)
+
+    out = docs.select(id_as_text(id_col), text_or_empty(text_col).alias("_text")).mapInArrow(run, "_id string, piece int, start long, length long, ids_crc32 long")
     return id_restored(out, docs, id_col)
 
 

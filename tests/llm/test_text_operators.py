@@ -205,6 +205,43 @@ def test_packing_encodes_new_words_without_the_whole_tokenizer(monkeypatch):
     assert enc.encode(odd) == [np.asarray(e.ids, "<u4").tobytes() for e in t.encode_batch(odd, add_special_tokens=False)]
 
 
+def test_packing_sends_a_block_of_new_words_to_the_model_at_once(monkeypatch):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(JSON)
+    enc = packing.Encoder(JSON)
+    sent, calls, through, by_model = [], [], enc.plain, enc.words
+    monkeypatch.setattr(enc, "plain", lambda texts: sent.extend(texts) or through(texts))
+    monkeypatch.setattr(enc, "words", lambda words: calls.append(words) or by_model(words))
+    texts = [f"new{i}word\tthen  é{i % 7}\r\n\n *** end{i}, \n" for i in range(100)]
+    assert enc.encode(texts) == [np.asarray(e.ids, "<u4").tobytes() for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert sent == [] and len(calls) == 1 and len(calls[0]) == len(set(calls[0]))
+
+
+@pytest.mark.parametrize("block", [16, 61, 1 << 22])
+def test_packing_blocks_give_the_ids_of_the_library(monkeypatch, block):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "BLOCK", block)
+    t = Tokenizer.from_file(JSON)
+    enc, some = packing.Encoder(JSON), random.Random(block)
+    parts = [*"   \n\n\t\r\v''abzZ019,.*<|>_-\x00\x1c\x7f\x85\xa0\u2003\u3000\u200béß×÷ñſɏɐ日п²ªµ\u0303😀ア", "'s", "'ll", "<|endoftext|>"]
+    for _ in range(30):
+        texts = ["".join(some.choices(parts, k=some.randrange(40))) for _ in range(50)]
+        assert enc.encode(texts) == [np.asarray(e.ids, "<u4").tobytes() for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert enc.encode([]) == [] and enc.encode(["", ""]) == [b"", b""]
+
+
+def test_packing_encodes_by_other_tokenizers_in_one_go(tmp_path):
+    from tokenizers import Tokenizer, normalizers
+
+    t = Tokenizer.from_file(JSON)
+    t.normalizer = normalizers.Replace("  b", "c")
+    t.save(str(tmp_path / "other.json"))
+    texts = ["a  b", "", "xé  b's a<|endoftext|>  b", "a"]
+    assert packing.Encoder(str(tmp_path / "other.json")).encode(texts) == [np.asarray(e.ids, "<u4").tobytes() for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_packing_covers_every_token(spark):
     from tokenizers import Tokenizer
 
